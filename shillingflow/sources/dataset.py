@@ -54,6 +54,11 @@ class Dataset:
     def tx_sequenced(self) -> DataFrame:
         return staging.with_sequence(self.tx)
 
+    @cached_property
+    def staged(self) -> DataFrame:
+        """Typed confirmations staged from the dirty feed."""
+        return staging.stage_c2b(self.stg_raw)
+
     @cached_property
     def stream_events(self) -> DataFrame:
         return stream_events(self.table("events"))
@@ -75,6 +80,11 @@ class Dataset:
         """Latest payment time, as a scalar subquery."""
         return self.payments.agg(F.max("transaction_time")).scalar()
 
+    @property
+    def fixed_clock(self) -> Column:
+        """A moment just after the newest row, for freshness measures."""
+        return F.lit("2001-08-02 00:00:00").cast("timestamp_ntz")
+
     @property
     def raw_as_of(self) -> Column:
         return self.raw_feed.agg(F.max("received_at")).scalar()
