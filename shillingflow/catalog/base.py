@@ -158,6 +158,44 @@ TABLES: dict[str, str] = {
           CASE WHEN payment_key % 3 = 0 THEN '' ELSE 'Mid' END AS "MiddleName",
           CASE WHEN payment_key % 11 <> 0 THEN 'Last' || CAST(payment_key % 13 AS VARCHAR) END AS "LastName"
         FROM payments""",
+    "validator_records": """
+        SELECT * REPLACE (coalesce(strftime(try_strptime(transaction_time, '%Y%m%d%H%M%S'), '%Y-%m-%dT%H:%M:%S'),
+          transaction_time) AS transaction_time) FROM raw_feed""",
+    "validated": """
+        SELECT *, CASE WHEN transaction_id IS NULL THEN 'missing_transaction_id' WHEN amount IS NULL THEN 'missing_amount'
+          WHEN phone_number IS NULL THEN 'missing_phone' WHEN business_shortcode IS NULL THEN 'missing_shortcode'
+          WHEN transaction_time IS NULL THEN 'missing_time'
+          WHEN TRY_CAST(amount AS DOUBLE) IS NULL OR NOT isfinite(TRY_CAST(amount AS DOUBLE)) THEN 'amount_not_numeric'
+          WHEN NOT regexp_full_match(phone_number, '254[0-9]{9}') THEN 'phone_format'
+          WHEN TRY_CAST(transaction_time AS TIMESTAMP) IS NULL THEN 'time_format'
+          WHEN TRY_CAST(amount AS DOUBLE) <= 0 THEN 'amount_not_positive' ELSE 'ok' END AS rule
+        FROM validator_records""",
+    "letters": """
+        SELECT coalesce(transaction_id, sha256(payload)) AS message_id, 'transactions' AS original_topic,
+          payload AS original_message,
+          CASE WHEN rule IN ('time_format', 'amount_not_numeric') THEN 'invalid_format' ELSE 'validation_error' END AS failure_reason,
+          'rule failed: ' || rule AS error_message, 0::BIGINT AS retry_count, 3::BIGINT AS max_retries,
+          false AS is_recoverable
+        FROM validated WHERE rule <> 'ok'""",
+    "legacy_events": """
+        SELECT CASE WHEN payment_key % 4 = 0 THEN 'c2b_transaction' WHEN payment_key % 37 = 1 THEN 'refund'
+          ELSE 'c2b_confirmation' END AS event_type, transaction_id, phone_number, amount,
+          strftime(transaction_time, '%Y%m%d%H%M%S') AS transaction_time, received_at FROM payments""",
+    "stk_requests": """
+        SELECT 'ws_CO_' || CAST(payment_key AS VARCHAR) AS checkout_request_id, phone_number,
+          CAST(amount AS DOUBLE) AS amount, account_reference, 'initiated' AS status, transaction_time AS initiated_at
+        FROM payments""",
+    "stk_calls": """
+        SELECT 'REQ' || CAST(payment_key AS VARCHAR) AS merchant_request_id,
+          CASE WHEN payment_key % 50 = 3 THEN 'ws_XX_' ELSE 'ws_CO_' END || CAST(payment_key AS VARCHAR) AS checkout_request_id,
+          CAST(code AS BIGINT) AS result_code, 'code ' || CAST(code AS VARCHAR) AS result_desc,
+          CASE WHEN code = 0 THEN CAST(amount AS DOUBLE) END AS amount,
+          CASE WHEN code = 0 THEN 'RCP' || CAST(payment_key AS VARCHAR) END AS receipt,
+          CASE WHEN code = 0 THEN phone_number END AS phone_number, transaction_time + to_seconds(delay) AS received_at
+        FROM (SELECT *, CASE payment_key % 5 WHEN 1 THEN 1 WHEN 2 THEN 10 WHEN 3 THEN 1032 ELSE 0 END AS code, 45 AS delay
+              FROM payments
+              UNION ALL SELECT *, 1032, 20 FROM payments WHERE payment_key % 7 = 0) c
+        WHERE payment_key % 10 <> 9""",
     "stream_events": """
         SELECT 'EVT' || CAST(event_id AS VARCHAR) AS "TransID",
           '07' || lpad(CAST(user_id AS VARCHAR), 8, '0') AS "MSISDN",

@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from ..schemas import EVENT_TYPES
-from .payments import blank_to_null, col, normalize_ke_phone, txn_time
+from .payments import blank_to_null, col, normalize_ke_phone, txn_time, txn_time_unreadable
 
 MAX_AMOUNT = 1000000
 
@@ -31,7 +31,7 @@ def first_failing_rule(txn_id, amount, phone, shortcode, time) -> Column:
     return (
         chain.when(number.isNull(), "amount_not_numeric")
         .when(~col(phone).rlike(r"^254[0-9]{9}$"), "phone_format")
-        .when(~(iso_time_ok(time) | (col(time).rlike(r"^\d{14}$") & txn_time(time).isNotNull())), "time_format")
+        .when(~iso_time_ok(time), "time_format")
         .when(number <= 0, "amount_not_positive")
         .otherwise("ok")
     )
@@ -103,5 +103,13 @@ def stk_request_reason(phone, amount, reference, description) -> Column:
     )
 
 
+def landing_rule(event_type="event_type", time="transaction_time") -> Column:
+    """Why an event may not land: unknown type, or a time in neither accepted format."""
+    return (
+        F.when(~event_type_ok(event_type), "event_type")
+        .when(txn_time_unreadable(time), "unreadable_time").otherwise("ok")
+    )
+
+
 def event_type_ok(c) -> Column:
     return F.coalesce(col(c).isin(EVENT_TYPES), F.lit(False))

@@ -67,7 +67,7 @@ def value_by_hour(hourly, tx, as_of, accounts=None, days=7):
     if accounts is not None:
         matching = tx.filter(
             F.col(TIME).between(lower, as_of + P.interval(1, "HOURS")) & P.account_filter(accounts)
-        ).select(P.trunc_ts("hour", TIME).alias("hour_bucket"))
+        ).select(P.trunc_ts("hour", TIME).alias("hour_bucket")).distinct()
         hours = hours.join(matching, "hour_bucket", "left_semi")
     return hours.select(
         F.col("hour_bucket").alias("time"), F.col("total_amount").alias("value_kes"),

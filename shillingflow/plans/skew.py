@@ -95,6 +95,23 @@ def ordered_sequence(df: DataFrame, keys: list[str], order: list[Column], levels
     )
 
 
+def slotted_sums(df: DataFrame, keys: list[str], time: str, reach: int,
+                 frames: dict[str, tuple[str, int, int]]) -> DataFrame:
+    """Range-frame sums over an integer ``time`` without one partition per whole key.
+
+    ``frames`` maps an output name to (value column, first offset, last offset), offsets being at
+    most ``reach`` back. Time is cut into slots of length ``reach``; every row also visits the
+    next slot, so a frame never leaves its partition.
+    """
+    slots = df.withColumn("_shift", F.explode(F.array(F.lit(0), F.lit(1)))).withColumn(
+        "_slot", F.floor(F.col(time) / reach) + F.col("_shift")
+    )
+    by_time = Window.partitionBy(*keys, "_slot").orderBy(time)
+    for out, (value, first, last) in frames.items():
+        slots = slots.withColumn(out, F.sum(value).over(by_time.rangeBetween(first, last)))
+    return slots.filter("_shift = 0").drop("_shift", "_slot")
+
+
 def trailing_counts(df: DataFrame, keys: list[str], ts: str, seconds: int, out: str) -> DataFrame:
     """Rows per key within the last ``seconds`` before each distinct instant, that instant included.
 
@@ -102,17 +119,10 @@ def trailing_counts(df: DataFrame, keys: list[str], ts: str, seconds: int, out:
     are distinct instants in two adjacent time slots. Returns keys, ``ts``, ``rows_at`` and ``out``.
     """
     span = seconds * 1_000_000
-    at = df.groupBy(*keys, ts).agg(F.count("*").alias("rows_at"))
-    slots = (
-        at.withColumn("_micros", F.unix_micros(F.col(ts).cast("timestamp")))
-        .withColumn("_shift", F.explode(F.array(F.lit(0), F.lit(1))))
-        .withColumn("_slot", F.floor(F.col("_micros") / span) + F.col("_shift"))
-    )
-    recent = Window.partitionBy(*keys, "_slot").orderBy("_micros").rangeBetween(-(span - 1), 0)
-    return (
-        slots.withColumn(out, F.sum("rows_at").over(recent))
-        .filter("_shift = 0").select(*keys, ts, "rows_at", out)
+    at = df.groupBy(*keys, ts).agg(F.count("*").alias("rows_at")).withColumn(
+        "_micros", F.unix_micros(F.col(ts).cast("timestamp"))
     )
+    return slotted_sums(at, keys, "_micros", span, {out: ("rows_at", -(span - 1), 0)}).drop("_micros")
 
 
 def _value_bucket(v: Column) -> Column:

@@ -63,6 +63,28 @@ class Dataset:
     def stream_events(self) -> DataFrame:
         return stream_events(self.table("events"))
 
+    @cached_property
+    def validator_records(self) -> DataFrame:
+        """Dirty feed with ISO times, the form the record validator expects."""
+        iso = F.date_format(P.txn_time("transaction_time"), "yyyy-MM-dd'T'HH:mm:ss")
+        return self.raw_feed.withColumn("transaction_time", F.coalesce(iso, "transaction_time"))
+
+    @cached_property
+    def legacy_events(self) -> DataFrame:
+        return legacy_events(self.payments)
+
+    @cached_property
+    def stk_requests(self) -> DataFrame:
+        return stk_requests(self.payments)
+
+    @cached_property
+    def stk_messages(self) -> DataFrame:
+        return stk_messages(self.payments)
+
+    @cached_property
+    def b2c_messages(self) -> DataFrame:
+        return b2c_messages(self.payments)
+
     @cached_property
     def hourly(self) -> DataFrame:
         return marts.hourly_volumes(self.tx)
@@ -191,3 +213,56 @@ def stream_events(events: DataFrame) -> DataFrame:
         F.get_json_object("props", "$.k").cast("bigint").alias("k"),
         "event_type",
     )
+
+
+def legacy_events(payments: DataFrame) -> DataFrame:
+    """Older event shapes: the former type name, an unknown type, numeric amounts."""
+    key = F.col("payment_key")
+    return payments.select(
+        F.when(key % 4 == 0, "c2b_transaction").when(key % 37 == 1, "refund").otherwise("c2b_confirmation").alias("event_type"),
+        "transaction_id", "phone_number", "amount",
+        F.date_format("transaction_time", "yyyyMMddHHmmss").alias("transaction_time"), "received_at",
+    )
+
+
+def stk_requests(payments: DataFrame) -> DataFrame:
+    return payments.select(
+        F.concat(F.lit("ws_CO_"), F.col("payment_key").cast("string")).alias("checkout_request_id"),
+        "phone_number", F.col("amount").cast("double").alias("amount"), "account_reference",
+        F.lit("initiated").alias("status"), F.col("transaction_time").alias("initiated_at"),
+    )
+
+
+def stk_messages(payments: DataFrame) -> DataFrame:
+    """Nested callbacks: one in ten requests gets none, one in fifty callbacks matches no request,
+    and one in seven is first reported as failed and later as its final code."""
+    key = F.col("payment_key")
+    number = key.cast("string")
+    code = F.when(key % 5 == 1, 1).when(key % 5 == 2, 10).when(key % 5 == 3, 1032).otherwise(0)
+    prefix = F.when(key % 50 == 3, "ws_XX_").otherwise("ws_CO_")
+
+    def body(result, at):
+        items = F.concat(
+            F.lit(',"CallbackMetadata":{"Item":[{"Name":"Amount","Value":'), F.col("amount").cast("string"),
+            F.lit('},{"Name":"MpesaReceiptNumber","Value":"RCP'), number,
+            F.lit('"},{"Name":"PhoneNumber","Value":'), F.col("phone_number"), F.lit("}]}"),
+        )
+        text = F.concat(
+            F.lit('{"Body":{"stkCallback":{"MerchantRequestID":"REQ'), number, F.lit('","CheckoutRequestID":"'), prefix, number,
+            F.lit('","ResultCode":'), result.cast("string"), F.lit(',"ResultDesc":"code '), result.cast("string"), F.lit('"'),
+            F.when(result == 0, items).otherwise(F.lit("")), F.lit("}}}"),
+        )
+        return F.struct(text.alias("value"), at.alias("received_at"))
+
+    first = body(F.lit(1032), F.col("transaction_time") + F.expr("INTERVAL 20 SECONDS"))
+    last = body(code, F.col("transaction_time") + F.expr("INTERVAL 45 SECONDS"))
+    both = F.when(key % 7 == 0, F.array(first, last)).otherwise(F.array(last))
+    return payments.filter(key % 10 != 9).select(F.explode(both).alias("_m")).select("_m.*")
+
+
+def b2c_messages(payments: DataFrame) -> DataFrame:
+    key = F.col("payment_key")
+    number, code = key.cast("string"), F.when(key % 3 == 0, "1").otherwise("0")
+    nested = F.concat(F.lit('{"ConversationID":"AG_'), number, F.lit('","Result":{"ResultCode":"'), code, F.lit('"}}'))
+    flat = F.concat(F.lit('{"ConversationID":"AG_'), number, F.lit('","ResultCode":'), code, F.lit("}"))
+    return payments.select(F.when(key % 2 == 0, nested).otherwise(flat).alias("value"))
