@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 HOT_ROWS = 2_000_000
 SALTS = 64
+SLOT_REACHES = 8
 
 
 def profile_join(rows: DataFrame, profile: DataFrame, keys: list[str], size: str, spread: str,
@@ -100,11 +101,14 @@ def slotted_sums(df: DataFrame, keys: list[str], time: str, reach: int,
     """Range-frame sums over an integer ``time`` without one partition per whole key.
 
     ``frames`` maps an output name to (value column, first offset, last offset), offsets being at
-    most ``reach`` back. Time is cut into slots of length ``reach``; every row also visits the
-    next slot, so a frame never leaves its partition.
+    most ``reach`` back. Time is cut into slots of several ``reach``; rows near the end of a slot
+    also visit the next one, so a frame never leaves its partition.
     """
-    slots = df.withColumn("_shift", F.explode(F.array(F.lit(0), F.lit(1)))).withColumn(
-        "_slot", F.floor(F.col(time) / reach) + F.col("_shift")
+    length = reach * SLOT_REACHES
+    near_end = F.pmod(F.col(time), F.lit(length)) >= length - reach
+    shifts = F.when(near_end, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    slots = df.withColumn("_shift", F.explode(shifts)).withColumn(
+        "_slot", F.floor(F.col(time) / length) + F.col("_shift")
     )
     by_time = Window.partitionBy(*keys, "_slot").orderBy(time)
     for out, (value, first, last) in frames.items():
@@ -116,7 +120,7 @@ def trailing_counts(df: DataFrame, keys: list[str], ts: str, seconds: int, out:
     """Rows per key within the last ``seconds`` before each distinct instant, that instant included.
 
     Rows of one key and instant are counted first, so a window never holds more rows than there
-    are distinct instants in two adjacent time slots. Returns keys, ``ts``, ``rows_at`` and ``out``.
+    are distinct instants in a slot and the stretch before it. Returns keys, ``ts``, ``rows_at`` and ``out``.
     """
     span = seconds * 1_000_000
     at = df.groupBy(*keys, ts).agg(F.count("*").alias("rows_at")).withColumn(
