@@ -7,7 +7,7 @@ from ..operators import analytics as A
 from ..operators import health as H
 from ..operators import lookups as L
 from ..operators import risk as R
-from ..operators.ml import ensemble, features
+from ..operators.ml import ensemble, features, store
 from .base import query
 
 NOW = "(SELECT as_of FROM clock)"
@@ -325,8 +325,8 @@ q("region_risk", lambda d: d.regional.select("transaction_id", "region", P.regio
 
 
 def _features(d):
-    rows = features.fill_means(features.fraud_features(
-        d.regional.select("transaction_id", "phone_number", "amount", "transaction_time", "business_shortcode", "region")))
+    rows = store.stored_features(
+        d.regional.select("transaction_id", "phone_number", "amount", "transaction_time", "business_shortcode", "region"))
     smooth = ("amount_log", "amount_deviation")
     return rows.select("transaction_id", *[
         P.money_round(c, 4).alias(c) if c in smooth else F.col(c) for c in features.FEATURES
