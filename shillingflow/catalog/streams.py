@@ -22,7 +22,7 @@ def q(key, build, sql=None):
 def source(d, table):
     """The parquet file of a table as a file stream."""
     return (
-        d.spark.readStream.schema(d.table(table).schema).option("pathGlobFilter", f"{table}.parquet").parquet(d.folder)
+        d.spark.readStream.schema(data.LAYOUTS[table]).option("pathGlobFilter", f"{table}.parquet").parquet(d.folder)
     )
 
 

@@ -74,12 +74,13 @@ def exact_mean(amount) -> Column:
 # -- parsing -------------------------------------------------------------------------------
 
 def txn_time(c) -> Column:
-    """Compact ``yyyyMMddHHmmss`` first, then ISO-8601; empty or unreadable text gives null."""
-    text = blank_to_null(c)
-    compact = F.when(
-        text.rlike(r"^\d{14}$"), F.try_to_timestamp(text, F.lit("yyyyMMddHHmmss"))
-    )
-    iso = F.when(text.rlike(r"^\d{4}-\d{2}-\d{2}"), text.try_cast("timestamp"))
+    """Compact ``yyyyMMddHHmmss`` first, then ISO-8601; empty or unreadable text gives null.
+
+    The text appears only twice: filters pushed below a projection repeat the whole expression.
+    """
+    text = col(c)
+    compact = F.try_to_timestamp(text, F.lit("yyyyMMddHHmmss"))
+    iso = F.regexp_extract(text, r"^\d{4}-\d{2}-\d{2}.*$", 0).try_cast("timestamp")
     return F.coalesce(compact, iso).cast("timestamp_ntz")
 
 
@@ -129,8 +130,18 @@ def region_risk(c) -> Column:
 
 # -- buckets -------------------------------------------------------------------------------
 
+def amount_category_sql(c: str) -> str:
+    """A missing amount counts as zero."""
+    return (
+        f"CASE WHEN coalesce({c}, 0) >= {HIGH_AMOUNT} THEN 'high' "
+        f"WHEN coalesce({c}, 0) >= {MEDIUM_AMOUNT} THEN 'medium' ELSE 'low' END"
+    )
+
+
 def amount_category(c) -> Column:
-    amount = F.coalesce(col(c), F.lit(0))
+    if isinstance(c, str):
+        return F.expr(amount_category_sql(c))
+    amount = F.coalesce(c, F.lit(0))
     return (
         F.when(amount >= HIGH_AMOUNT, "high").when(amount >= MEDIUM_AMOUNT, "medium").otherwise("low")
     )

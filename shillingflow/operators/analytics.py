@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import payments as P
-from ..plans.skew import HOT_ROWS, exact_quantiles, profile_join
+from ..plans.skew import HOT_ROWS, exact_quantiles, profile_join, top_rows
 
 
 def since(payments: DataFrame, as_of: Column, days: int) -> DataFrame:
@@ -39,7 +39,7 @@ def customer_day_metrics(payments: DataFrame, as_of: Column, days: int = 90, top
         )
     )
     if top is not None:
-        grouped = grouped.orderBy(F.desc("total_amount"), *keys).limit(top)
+        grouped = top_rows(grouped, "total_amount", keys, top)
     names = ("total_amount", "transaction_count", "avg_amount")
     peak = grouped.agg(F.struct(*[F.max(c).alias(c) for c in names])).scalar()
     score = (

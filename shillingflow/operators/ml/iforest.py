@@ -108,9 +108,12 @@ def draw_samples(features: DataFrame, row_id: str, trees: int, sample: int, seed
 
     Sampling is how the method works; the pool has a fixed size whatever the input.
     """
+    wanted, slots = trees * sample, 1 << 30
+    share = min(1.0, 4 * wanted / max(features.count(), 1))  # four times enough, so the sort stays small
     pool = (
         features.select(row_id, *FEATURES).withColumn("_order", F.xxhash64(row_id, F.lit(seed)))
-        .orderBy("_order", row_id).limit(trees * sample)
+        .filter(F.pmod("_order", F.lit(slots)) < int(np.ceil(share * slots)))
+        .orderBy("_order", row_id).limit(wanted)
     )
     per_tree = pool.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))))
     pick = Window.partitionBy("tree").orderBy(F.xxhash64("_order", "tree"), row_id)

@@ -26,21 +26,16 @@ def stage_raw(raw: DataFrame) -> DataFrame:
     )
 
 
-def _typed(df: DataFrame, phone: str, amount: Column, ts: Column, loaded: str) -> DataFrame:
-    typed = df.select(
-        "transaction_id",
-        F.col(phone).alias("customer_phone_number"),
-        "account_reference",
-        amount.cast("decimal(12,2)").alias("transaction_amount"),
-        ts.alias("transaction_timestamp"),
-        F.col(loaded).alias("loaded_at"),
-    )
-    return typed.select(
-        "*",
-        F.to_date("transaction_timestamp").alias("transaction_date"),
-        F.hour("transaction_timestamp").cast("bigint").alias("transaction_hour"),
-        P.iso_dow("transaction_timestamp").cast("bigint").alias("day_of_week"),
-        P.amount_category("transaction_amount").alias("amount_category"),
+def _typed(df: DataFrame, amount: str, time: Column | None = None) -> DataFrame:
+    if time is not None:
+        df = df.withColumn("transaction_time", time)
+    return df.selectExpr(
+        "transaction_id", "phone_number AS customer_phone_number", "account_reference",
+        f"{amount} AS transaction_amount", "transaction_time AS transaction_timestamp", "received_at AS loaded_at",
+        "to_date(transaction_time) AS transaction_date",
+        "cast(hour(transaction_time) as bigint) AS transaction_hour",
+        "cast(weekday(transaction_time) + 1 as bigint) AS day_of_week",
+        f"{P.amount_category_sql('transaction_amount')} AS amount_category",
     )
 
 
@@ -50,13 +45,12 @@ def stage_c2b(stg_raw: DataFrame) -> DataFrame:
         (F.col("event_type") == "c2b_confirmation") & F.col("transaction_id").isNotNull()
         & F.col("phone_number").isNotNull() & F.col("amount").isNotNull()
     )
-    return _typed(kept, "phone_number", F.col("amount").try_cast("decimal(12,2)"),
-                  P.txn_time("transaction_time"), "received_at")
+    return _typed(kept, "try_cast(amount as decimal(12,2))", P.txn_time("transaction_time"))
 
 
 def typed_payments(payments: DataFrame) -> DataFrame:
     """Same layout from an already typed feed, without the text round trip."""
-    return _typed(payments, "phone_number", F.col("amount"), F.col("transaction_time"), "received_at")
+    return _typed(payments, "cast(amount as decimal(12,2))")
 
 
 def with_sequence(tx: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:

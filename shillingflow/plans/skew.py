@@ -29,7 +29,9 @@ def profile_join(rows: DataFrame, profile: DataFrame, keys: list[str], size: str
     hot = profile.filter(F.col(size) > hot_rows).select(
         *keys, *[F.col(c).alias(f"_hot_{c}") for c in names]
     )
-    cold = profile.filter(F.col(size) <= hot_rows).withColumn("_salt", F.lit(0).cast("bigint"))
+    # always 0, but not a literal: a constant would be folded out of the join key
+    zero = F.pmod(F.xxhash64(*keys), F.lit(1))
+    cold = profile.filter(F.col(size) <= hot_rows).withColumn("_salt", zero.cast("bigint"))
     salted = rows.join(F.broadcast(hot), keys, "left").withColumn(
         "_salt",
         F.when(F.col(f"_hot_{size}").isNotNull(), F.pmod(F.xxhash64(spread), F.lit(SALTS)) + 1)
@@ -135,6 +137,22 @@ def _value_bucket(v: Column) -> Column:
     return F.when(v == 0, F.lit(0)).when(v > 0, size).otherwise(-size).cast("bigint")
 
 
+def top_rows(df: DataFrame, value: str, ties: list[str], k: int) -> DataFrame:
+    """The ``k`` largest rows when ``k`` is large.
+
+    A plain sort-and-limit sends ``k`` rows per task to one task. Here a histogram gives a lower
+    bound for the wanted values first, so little more than ``k`` rows are sorted.
+    """
+    bucket = _value_bucket(F.col(value).cast("double"))
+    larger = Window.orderBy(F.desc("_bucket")).rowsBetween(Window.unboundedPreceding, -1)
+    histogram = df.groupBy(bucket.alias("_bucket")).agg(F.count("*").alias("_n"))
+    cutoff = (
+        histogram.withColumn("_above", F.coalesce(F.sum("_n").over(larger), F.lit(0)))
+        .filter(F.col("_above") < k).agg(F.min("_bucket")).scalar()
+    )
+    return df.filter(bucket >= cutoff).orderBy(F.desc(value), *ties).limit(k)
+
+
 def exact_quantiles(df: DataFrame, value: str, probs: dict[str, float], by: list[str] | None = None) -> DataFrame:
     """Exact interpolated quantiles without gathering the values of a group in one task.
 

@@ -15,6 +15,15 @@ from ..functions import payments as P
 from ..operators import marts, staging
 
 
+# Layouts of the test tables in use; giving them saves a footer read per query.
+LAYOUTS = {
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+              "o_orderdate timestamp_ntz, o_orderpriority string",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+    "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
+}
+
+
 class Dataset:
     """Lazy frames over one folder of parquet tables."""
 
@@ -22,7 +31,7 @@ class Dataset:
         self.spark, self.folder = spark, folder
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self.spark.read.schema(LAYOUTS[name]).parquet(f"{self.folder}/{name}.parquet")
 
     @cached_property
     def payments(self) -> DataFrame:
@@ -112,66 +121,49 @@ class Dataset:
         return self.raw_feed.agg(F.max("received_at")).scalar()
 
 
-def _seconds(c: Column) -> Column:
-    return F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), c.cast("decimal(18,6)"))
+def seconds(sql: str) -> str:
+    """SQL interval of a whole number of seconds."""
+    return f"make_dt_interval(0, 0, 0, cast({sql} as decimal(18,6)))"
 
 
 def payments(orders: DataFrame) -> DataFrame:
-    key, cust = F.col("o_orderkey"), F.col("o_custkey")
-    factor = (
-        F.when(key % 4 == 0, F.lit("1.00")).when(key % 4 == 1, F.lit("0.50"))
-        .when(key % 4 == 2, F.lit("0.10")).otherwise(F.lit("0.01")).cast("decimal(3,2)")
-    )
-    status = (
-        F.when(F.col("o_orderstatus") == "F", "completed").when(F.col("o_orderstatus") == "O", "pending")
-        .otherwise("failed")
+    return orders.selectExpr(
+        "o_orderkey AS payment_key",
+        "concat('TXN', lpad(cast(o_orderkey as string), 10, '0')) AS transaction_id",
+        "concat('2547', lpad(cast((o_custkey * 666013) % 100000000 as string), 8, '0')) AS phone_number",
+        "cast(cast(o_totalprice as decimal(12,2)) * cast(CASE o_orderkey % 4 WHEN 0 THEN '1.00' WHEN 1 THEN '0.50' "
+        "WHEN 2 THEN '0.10' ELSE '0.01' END as decimal(3,2)) as decimal(12,2)) AS amount",
+        f"o_orderdate + {seconds('(o_orderkey * 7919) % 86400')} AS transaction_time",
+        "CASE WHEN o_orderkey % 29 <> 0 THEN o_orderpriority END AS account_reference",
+        "CASE o_orderstatus WHEN 'F' THEN 'completed' WHEN 'O' THEN 'pending' ELSE 'failed' END AS transaction_status",
+        "cast(174000 + o_custkey % 37 as string) AS business_shortcode",
+        f"transaction_time + {seconds('payment_key % 120')} AS received_at",
     )
-    base = orders.select(
-        key.alias("payment_key"),
-        F.concat(F.lit("TXN"), F.lpad(key.cast("string"), 10, "0")).alias("transaction_id"),
-        F.concat(F.lit("2547"), F.lpad(((cust * 666013) % 100000000).cast("string"), 8, "0")).alias("phone_number"),
-        (F.col("o_totalprice").cast("decimal(12,2)") * factor).cast("decimal(12,2)").alias("amount"),
-        (F.col("o_orderdate") + _seconds((key * 7919) % 86400)).alias("transaction_time"),
-        F.when(key % 29 != 0, F.col("o_orderpriority")).alias("account_reference"),
-        status.alias("transaction_status"),
-        (F.lit(174000) + cust % 37).cast("string").alias("business_shortcode"),
-    )
-    return base.withColumn("received_at", F.col("transaction_time") + _seconds(F.col("payment_key") % 120))
 
 
 def raw_feed(orders: DataFrame) -> DataFrame:
     """Landed events with deliberate dirt: copies, bad phones, negative amounts, null ids, bad times."""
-    p, key = payments(orders), F.col("payment_key")
-    event_type = F.when(key % 41 == 7, "c2b_validation").otherwise("c2b_confirmation")
-    payload = (
-        F.when(key % 3 == 0, F.concat(F.lit('{"event_type":"'), event_type, F.lit('"'),
-                                      F.coalesce(F.concat(F.lit(',"account_reference":"'), "account_reference", F.lit('"')), F.lit("")),
-                                      F.lit("}")))
-        .when(key % 3 == 1, F.concat(F.lit('{"event_type":"'), event_type, F.lit('"'),
-                                     F.coalesce(F.concat(F.lit(',"AccountReference":"'), "account_reference", F.lit('"')), F.lit("")),
-                                     F.lit("}")))
-        .otherwise(F.lit("{}"))
-    )
-    base = p.select(
-        key,
-        F.when(key % 83 != 0, F.col("transaction_id")).alias("transaction_id"),
-        F.when(key % 97 == 0, "12345").otherwise(F.col("phone_number")).alias("phone_number"),
-        F.when(key % 89 == 0, "-5").otherwise(F.col("amount").cast("string")).alias("amount"),
+    def tagged(name: str) -> str:
+        return (
+            f"""concat('{{"event_type":"', event_type, '"', """
+            f"""coalesce(concat(',"{name}":"', account_reference, '"'), ''), '}}')"""
+        )
+
+    return payments(orders).selectExpr(
+        "payment_key",
+        "CASE WHEN payment_key % 83 <> 0 THEN transaction_id END AS transaction_id",
+        "CASE WHEN payment_key % 97 = 0 THEN '12345' ELSE phone_number END AS phone_number",
+        "CASE WHEN payment_key % 89 = 0 THEN '-5' ELSE cast(amount as string) END AS amount",
         "account_reference",
-        F.when(key % 79 == 0, "not-a-time")
-        .otherwise(F.date_format("transaction_time", "yyyyMMddHHmmss")).alias("transaction_time"),
-        "received_at",
-        F.lit("daraja_webhook").alias("source"),
-        "business_shortcode", "transaction_status",
-        event_type.alias("event_type"),
-        payload.alias("payload"),
-    )
-    # a copy arrives ten minutes after the payment itself
-    arrivals = F.when(key % 50 == 0, F.array(F.lit(0), F.lit(600) - key % 120)).otherwise(F.array(F.lit(0)))
-    return (
-        base.withColumn("_late", F.explode(arrivals.cast("array<bigint>")))
-        .withColumn("received_at", F.col("received_at") + _seconds(F.col("_late")))
-        .drop("_late")
+        "CASE WHEN payment_key % 79 = 0 THEN 'not-a-time' ELSE date_format(transaction_time, 'yyyyMMddHHmmss') END "
+        "AS transaction_time",
+        # a copy arrives ten minutes after the payment itself
+        f"""explode(CASE WHEN payment_key % 50 = 0 THEN array(received_at,
+            received_at + {seconds('600 - payment_key % 120')}) ELSE array(received_at) END) AS received_at""",
+        "'daraja_webhook' AS source", "business_shortcode", "transaction_status",
+        "CASE WHEN payment_key % 41 = 7 THEN 'c2b_validation' ELSE 'c2b_confirmation' END AS event_type",
+        f"CASE payment_key % 3 WHEN 0 THEN {tagged('account_reference')} WHEN 1 THEN {tagged('AccountReference')} "
+        "ELSE '{}' END AS payload",
     )
 
 

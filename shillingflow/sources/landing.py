@@ -26,7 +26,8 @@ def first_per_id(events: DataFrame, key: str = "transaction_id", order: str = "r
 
 def insert_ignore(target: DataFrame, incoming: DataFrame, key: str = "transaction_id") -> DataFrame:
     """Rows to append: the first arrival of every id the target does not hold yet."""
-    return first_per_id(incoming, key).join(target.select(key), key, "left_anti").select(*incoming.columns)
+    held = target.select(key).distinct()  # copies in the target shrink before the shuffle
+    return first_per_id(incoming, key).join(held, key, "left_anti").select(*incoming.columns)
 
 
 def confirm_upsert(events: DataFrame, key: str = "transaction_id", order: str = "received_at",

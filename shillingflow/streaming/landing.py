@@ -73,7 +73,7 @@ def match_stk(requests: DataFrame, callbacks: DataFrame, timeout: str = "2 minut
     ``requests`` carries ``initiated_at``, ``callbacks`` are flattened and carry ``received_at``.
     """
     left = requests.withWatermark("initiated_at", watermark).alias("r")
-    right = callbacks.withWatermark("received_at", watermark).select(
+    right = callbacks.filter(F.col("checkout_request_id").isNotNull()).withWatermark("received_at", watermark).select(
         F.col("checkout_request_id").alias("called_id"), "result_code", "result_desc", "received_at"
     ).alias("c")
     on = (

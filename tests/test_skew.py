@@ -1,10 +1,9 @@
 """Crowded keys must give the same rows as the plain plans."""
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from shillingflow.operators import staging
-from shillingflow.plans.skew import exact_quantiles, profile_join, trailing_counts
+from shillingflow.plans.skew import exact_quantiles, profile_join, top_rows, trailing_counts
 
 
 def skewed_tx(spark, n=4000):
@@ -66,6 +65,25 @@ def test_quantiles_match_percentile(spark):
     assert round(whole, 6) == round(tx.agg(F.percentile("v", F.lit(0.5))).first()[0], 6)
 
 
-def test_no_window_over_whole_key_when_crowded(spark):
+def test_crowded_sequence_uses_pieces(spark):
     plan = staging.with_sequence(skewed_tx(spark), hot_rows=100)._jdf.queryExecution().optimizedPlan().toString()
-    assert "_piece2" in plan and Window is not None
+    assert "_piece2" in plan
+
+
+def test_profile_join_shuffles_on_the_salt(spark):
+    tx = skewed_tx(spark)
+    profile = tx.groupBy("customer_phone_number").agg(F.count("*").alias("n"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = profile_join(tx, profile, ["customer_phone_number"], "n", "transaction_id", hot_rows=60)
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    sides = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line and "_salt" in line]
+    assert len(sides) == 2
+
+
+def test_top_rows(spark):
+    tx = skewed_tx(spark)
+    want = [r.transaction_id for r in tx.orderBy(F.desc("amount"), "transaction_id").limit(700).collect()]
+    assert [r.transaction_id for r in top_rows(tx, "amount", ["transaction_id"], 700).collect()] == want
