@@ -41,7 +41,8 @@ def grow_tree(points: np.ndarray, seed: int) -> pd.DataFrame:
             nodes.append([number, -1, 0.0, number, number, float(depth + expected_path(len(part)))])
             continue
         feature = int(rng.choice(varying))
-        cut = float(rng.uniform(low[feature], high[feature]))
+        # strictly below the maximum, so neither side is empty
+        cut = float(min(rng.uniform(low[feature], high[feature]), np.nextafter(high[feature], low[feature])))
         goes_left = part[:, feature] <= cut
         nodes.append([number, feature, cut, -1, -1, 0.0])
         todo.append((part[goes_left], depth + 1, number, "left"))
