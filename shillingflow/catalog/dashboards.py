@@ -140,13 +140,14 @@ panel("dq_model_freshness",
       lambda d: D.model_freshness(d.hourly, d.fixed_clock, built_at="hour_bucket"),
       """SELECT coalesce(CAST(epoch(TIMESTAMP '2001-08-02 00:00:00') - epoch(max(hour_bucket)) AS DOUBLE) / 60, 0)
       AS value FROM hourly""")
-panel("dq_raw_vs_staged", lambda d: D.raw_vs_staged(d.stg_raw, d.staged, d.raw_as_of, days=90),
-      f"""SELECT coalesce(r.time, s.time) AS time, coalesce(raw_events, 0) AS raw_events,
+for _key, _days in (("dq_raw_vs_staged", 90), ("raw_vs_staged_hourly", 3000)):
+    panel(_key, lambda d, days=_days: D.raw_vs_staged(d.stg_raw, d.staged, d.raw_as_of, days=days),
+          f"""SELECT coalesce(r.time, s.time) AS time, coalesce(raw_events, 0) AS raw_events,
         coalesce(staged_events, 0) AS staged_events
       FROM (SELECT date_trunc('hour', received_at) AS time, count(*) AS raw_events FROM stg_raw
-            WHERE received_at BETWEEN {RAW_NOW} - INTERVAL 90 DAY AND {RAW_NOW} GROUP BY 1) r
+            WHERE received_at BETWEEN {RAW_NOW} - INTERVAL {_days} DAY AND {RAW_NOW} GROUP BY 1) r
       FULL JOIN (SELECT date_trunc('hour', transaction_timestamp) AS time, count(*) AS staged_events FROM staged
-            WHERE transaction_timestamp BETWEEN {RAW_NOW} - INTERVAL 90 DAY AND {RAW_NOW} GROUP BY 1) s
+            WHERE transaction_timestamp BETWEEN {RAW_NOW} - INTERVAL {_days} DAY AND {RAW_NOW} GROUP BY 1) s
       ON r.time = s.time""")
 panel("dq_completeness", lambda d: D.completeness(d.staged, d.raw_as_of, days=60),
       f"""SELECT transaction_date, count(*) AS staged_transactions,

@@ -10,7 +10,7 @@ from ..streaming import events as E
 from ..streaming import lag as G
 from ..streaming import landing as N
 from ..streaming.runner import latest, materialize, run_available, write_batch
-from ..streaming.velocity import velocity
+from ..streaming.velocity import velocity, velocity_batches
 from .analytics import EV, HOURLY_SQL, r2, windows_sql
 from .base import query
 
@@ -67,18 +67,29 @@ UNION ALL SELECT NULL, event_time FROM stream_events e,
     AND (i = 0 OR CAST(substr("TransID", 4) AS BIGINT) % 5 = 0)""")
 
 
+def _checked(d):
+    return E.rules(enriched(d).drop("processed_at"))
+
+
 def _velocity(d):
-    flagged = E.rules(enriched(d).drop("processed_at"))
-    return velocity(flagged, "phone_standardized", "event_time", 3600, 2, slot_spans=120)
+    path = shared_dir(d.spark, "velocity")
+    velocity_batches(_checked(d), path, "phone_standardized", "event_time", "TransID", 3600, 2)
+    return d.spark.read.parquet(f"{path}/out")
+
+
+def _velocity_keyed(d):
+    return materialize(velocity(_checked(d), "phone_standardized", "event_time", 3600, 2, slot_spans=240), "velocity")
 
 
 VELOCITY = f"""(SELECT "TransID", phone AS phone_standardized, event_time, "TransAmount" AS a,
   count(*) OVER (PARTITION BY phone ORDER BY epoch_us(event_time)
     RANGE BETWEEN 3599999999 PRECEDING AND CURRENT ROW) AS n FROM {EV}) v"""
-q("stream_velocity", lambda d: naive(materialize(_velocity(d), "velocity"), "event_time").select(
-    "TransID", "phone_standardized", "event_time", "recent_transaction_count", "velocity_flag"),
-  f"SELECT \"TransID\", phone_standardized, event_time, n AS recent_transaction_count, n > 2 AS velocity_flag FROM {VELOCITY}")
-q("stream_alerts", lambda d: materialize(E.alerts(_velocity(d)), "alerts").select("TransID", "anomaly_flag", "velocity_flag"), f"""
+VELOCITY_SQL = f"""SELECT "TransID", phone_standardized, event_time, n AS recent_transaction_count,
+  n > 2 AS velocity_flag FROM {VELOCITY}"""
+for _key, _build in (("stream_velocity", _velocity), ("stream_velocity_keyed", _velocity_keyed)):
+    q(_key, lambda d, build=_build: naive(build(d), "event_time").select(
+        "TransID", "phone_standardized", "event_time", "recent_transaction_count", "velocity_flag"), VELOCITY_SQL)
+q("stream_alerts", lambda d: E.alerts(_velocity(d)).select("TransID", "anomaly_flag", "velocity_flag"), f"""
 SELECT "TransID", a > 500000 OR a < 1 AS anomaly_flag, n > 2 AS velocity_flag FROM {VELOCITY}
 WHERE a > 500000 OR a < 1 OR n > 2""")
 

@@ -124,11 +124,14 @@ def trailing_counts(df: DataFrame, keys: list[str], ts: str, seconds: int, out:
     Rows of one key and instant are counted first, so a window never holds more rows than there
     are distinct instants in a slot and the stretch before it. Returns keys, ``ts``, ``rows_at`` and ``out``.
     """
+    return trailing_sums(df.groupBy(*keys, ts).agg(F.count("*").alias("rows_at")), keys, ts, seconds, out)
+
+
+def trailing_sums(at: DataFrame, keys: list[str], ts: str, seconds: int, out: str) -> DataFrame:
+    """As ``trailing_counts`` for rows that are already counted per key and instant."""
     span = seconds * 1_000_000
-    at = df.groupBy(*keys, ts).agg(F.count("*").alias("rows_at")).withColumn(
-        "_micros", F.unix_micros(F.col(ts).cast("timestamp"))
-    )
-    return slotted_sums(at, keys, "_micros", span, {out: ("rows_at", -(span - 1), 0)}).drop("_micros")
+    timed = at.withColumn("_micros", F.unix_micros(F.col(ts).cast("timestamp")))
+    return slotted_sums(timed, keys, "_micros", span, {out: ("rows_at", -(span - 1), 0)}).drop("_micros")
 
 
 def _value_bucket(v: Column) -> Column:

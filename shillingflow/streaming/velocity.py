@@ -1,4 +1,9 @@
-"""Keyed velocity state: rows of a phone within the last minute."""
+"""Rows of a phone within the last minute, as keyed state or as a batch-wise job.
+
+``velocity`` answers per event from keyed state; the rows of one phone and slot in one micro-batch
+are handled together, so give its source a micro-batch limit. ``velocity_batches`` has no such
+need: it counts before it shuffles and keeps the recent counts in a table.
+"""
 
 from __future__ import annotations
 
@@ -11,7 +16,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor
 
-from .runner import WATERMARK, use_rocksdb
+from ..plans.skew import HOT_ROWS, profile_join, trailing_sums
+from .runner import WATERMARK, batch_path, run_available, use_rocksdb, write_batch
 
 
 class RecentCounts(StatefulProcessor):
@@ -88,3 +94,29 @@ def velocity(events: DataFrame, key: str, ts: str, seconds: int = 60, threshold:
     return spread.groupBy(key, "slot").transformWithStateInPandas(
         RecentCounts(span, slot, threshold), outputStructType=output, outputMode="Append", timeMode="EventTime",
     )
+
+
+def velocity_batches(events: DataFrame, path: str, key: str, ts: str, row_id: str, seconds: int = 60,
+                     threshold: int = 5, lateness: int = 600, hot_rows: int = HOT_ROWS):
+    """Bounded run that writes flagged events to ``path/out``.
+
+    Every batch writes the counts later batches may still need, under its own number; a replay
+    reads the counts of the batch before it and overwrites its own.
+    """
+
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        counts = batch.groupBy(key, ts).agg(F.count("*").alias("rows_at"))
+        if batch_id > 0:
+            earlier = spark.read.schema(counts.schema).parquet(batch_path(f"{path}/counts", batch_id - 1))
+            counts = counts.unionByName(earlier).groupBy(key, ts).agg(F.sum("rows_at").alias("rows_at"))
+        newest = counts.agg(F.max(ts)).scalar()
+        keep = F.col(ts) > newest - F.expr(f"INTERVAL {int(seconds + lateness)} SECONDS")
+        write_batch(counts.filter(keep), f"{path}/counts", batch_id)
+        recent = trailing_sums(counts, [key], ts, seconds, "recent_transaction_count")
+        flagged = profile_join(batch, recent, [key, ts], "rows_at", row_id, hot_rows).drop("rows_at").withColumn(
+            "velocity_flag", F.col("recent_transaction_count") > threshold
+        )
+        write_batch(flagged, f"{path}/out", batch_id)
+
+    return run_available(events, sink, f"{path}/checkpoint")

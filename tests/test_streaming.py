@@ -12,7 +12,7 @@ from shillingflow.sources import files
 from shillingflow.streaming import events as E
 from shillingflow.streaming import lag, landing
 from shillingflow.streaming.runner import run_available, write_batch
-from shillingflow.streaming.velocity import velocity
+from shillingflow.streaming.velocity import velocity, velocity_batches
 
 START = dt.datetime(2024, 1, 1)
 SCHEMA = "TransID string, MSISDN string, TransAmount double, event_time timestamp"
@@ -68,6 +68,12 @@ def test_velocity_equals_batch_twin(spark, tmp_path):
     want = {r.TransID: (r.recent_transaction_count, r.velocity_flag) for r in twin.collect()}
     assert {r.TransID: (r.recent_transaction_count, r.velocity_flag) for r in rows} == want
     assert len(rows) == len(burst) + 1 and any(r.velocity_flag for r in rows)
+    for limit in (2, 10**6):
+        path = f"{tmp_path}/batches{limit}"
+        velocity_batches(keyed, path, "phone_standardized", "event_time", "TransID", 30, 5, hot_rows=limit)
+        out = spark.read.parquet(f"{path}/out").collect()
+        assert {r.TransID: (r.recent_transaction_count, r.velocity_flag) for r in out} == want
+        assert len(out) == len(rows)
 
 
 def test_alerts_include_velocity(spark):
