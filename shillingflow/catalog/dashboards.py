@@ -83,17 +83,17 @@ panel("risk_night", lambda d: D.night_events(d.tx, d.as_of, hours=720),
 panel("risk_velocity_customers", lambda d: D.velocity_customers(d.tx, d.as_of, hours=2160, at_least=2),
       f"""SELECT count(*) AS value FROM (SELECT customer_phone_number FROM {last(2160, 'HOUR')}
       GROUP BY 1 HAVING count(*) >= 2) v""")
-panel("risk_exposure", lambda d: D.risk_exposure(d.tx_sequenced, d.as_of),
+panel("risk_exposure", lambda d: D.risk_exposure(d.tx, d.as_of),
       f"""SELECT coalesce(CAST(sum(transaction_amount) AS DOUBLE), 0) AS value
       FROM {last(24, 'HOUR', 'risky')} AND risk_bucket <> 'normal'""")
-panel("risk_mix", lambda d: D.risk_mix(d.tx_sequenced, d.as_of, hours=2160),
+panel("risk_mix", lambda d: D.risk_mix(d.tx, d.as_of, hours=2160),
       f"SELECT risk_bucket, count(*) AS events FROM {last(2160, 'HOUR', 'risky')} GROUP BY 1")
-panel("risk_over_time", lambda d: D.risk_over_time(d.tx_sequenced, d.as_of, hours=2160),
+panel("risk_over_time", lambda d: D.risk_over_time(d.tx, d.as_of, hours=2160),
       f"""SELECT date_trunc('hour', transaction_timestamp) AS time,
         count(*) FILTER (risk_bucket = 'critical') AS critical, count(*) FILTER (risk_bucket = 'elevated') AS elevated,
         count(*) FILTER (risk_bucket = 'velocity') AS velocity
       FROM {last(2160, 'HOUR', 'risky')} GROUP BY 1""")
-panel("risk_review_list", lambda d: D.risk_review_list(d.tx_sequenced, d.as_of),
+panel("risk_review_list", lambda d: D.risk_review_list(d.tx, d.as_of),
       f"""SELECT customer_phone_number, count(*) AS events, CAST(sum(transaction_amount) AS DOUBLE) AS value_kes,
         CAST(max(transaction_amount) AS DOUBLE) AS largest_transaction, max(transaction_timestamp) AS latest_seen,
         string_agg(DISTINCT risk_bucket, ', ' ORDER BY risk_bucket) AS risk_reasons

@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import payments as P
+from ..plans.skew import HOT_ROWS, exact_quantiles, profile_join
+from . import staging
 
 AMOUNT = "transaction_amount"
 TIME = "transaction_timestamp"
@@ -190,31 +192,58 @@ def velocity_customers(tx, as_of, accounts=None, hours=1, at_least=5):
     )
 
 
+SEQUENCE = "transaction_sequence_per_customer"
+
+
+def recent_sequenced(tx: DataFrame, as_of: Column, n: int, unit: str, accounts: list[str] | None = None,
+                     hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Recent rows with their number in the customer's whole history.
+
+    A saved staging table already holds the number. Without it, only the recent rows are
+    numbered; what came before is a count per customer, which shrinks before the shuffle.
+    """
+    if SEQUENCE in tx.columns:
+        return recent(tx, as_of, n, unit, accounts)
+    lower = as_of - P.interval(n, unit)
+    numbered = staging.with_sequence(recent(tx, as_of, n, unit), hot_rows)
+    before = F.col(TIME).isNull() | (F.col(TIME) < lower)
+    history = (
+        tx.filter(F.col(TIME).isNull() | (F.col(TIME) <= as_of)).groupBy(PHONE)
+        .agg(F.count_if(before).alias("_earlier"), F.count_if(~before).alias("_rows"))
+        .filter("_rows > 0")
+    )
+    rows = profile_join(numbered, history, [PHONE], "_rows", "transaction_id", hot_rows)
+    return (
+        rows.withColumn(SEQUENCE, F.col(SEQUENCE) + F.coalesce("_earlier", F.lit(0))).drop("_earlier", "_rows")
+        .filter(P.account_filter(accounts))
+    )
+
+
 def with_risk(sequenced):
     return sequenced.withColumn("risk_bucket", P.risk_bucket())
 
 
-def risk_exposure(sequenced, as_of, accounts=None, hours=24):
-    return with_risk(recent(sequenced, as_of, hours, "HOURS", accounts)).filter("risk_bucket <> 'normal'").agg(
+def risk_exposure(tx, as_of, accounts=None, hours=24):
+    return with_risk(recent_sequenced(tx, as_of, hours, "HOURS", accounts)).filter("risk_bucket <> 'normal'").agg(
         total().alias("value")
     )
 
 
-def risk_mix(sequenced, as_of, accounts=None, hours=24):
-    return with_risk(recent(sequenced, as_of, hours, "HOURS", accounts)).groupBy("risk_bucket").agg(
+def risk_mix(tx, as_of, accounts=None, hours=24):
+    return with_risk(recent_sequenced(tx, as_of, hours, "HOURS", accounts)).groupBy("risk_bucket").agg(
         F.count("*").alias("events")
     )
 
 
-def risk_over_time(sequenced, as_of, accounts=None, hours=24):
-    rows = with_risk(recent(sequenced, as_of, hours, "HOURS", accounts))
+def risk_over_time(tx, as_of, accounts=None, hours=24):
+    rows = with_risk(recent_sequenced(tx, as_of, hours, "HOURS", accounts))
     return rows.groupBy(P.trunc_ts("hour", TIME).alias("time")).agg(
         *[F.count_if(F.col("risk_bucket") == b).alias(b) for b in ("critical", "elevated", "velocity")]
     )
 
 
-def risk_review_list(sequenced, as_of, accounts=None, days=7, limit=50):
-    rows = with_risk(recent(sequenced, as_of, days, "DAYS", accounts)).filter("risk_bucket <> 'normal'")
+def risk_review_list(tx, as_of, accounts=None, days=7, limit=50):
+    rows = with_risk(recent_sequenced(tx, as_of, days, "DAYS", accounts)).filter("risk_bucket <> 'normal'")
     return (
         rows.groupBy(PHONE).agg(
             F.count("*").alias("events"),
@@ -248,8 +277,6 @@ def repeat_rate(tx, as_of, accounts=None, days=30):
 
 
 def median_value(tx, as_of, accounts=None, days=30):
-    from ..plans.skew import exact_quantiles
-
     median = exact_quantiles(_customer_totals(tx, as_of, accounts, days), "value_kes", {"q": 0.5})
     return median.agg(F.coalesce(P.money_round(F.max("q"), 4), F.lit(0.0)).alias("value"))
 

@@ -27,6 +27,23 @@ def build_session(app: str = "shillingflow", master: str | None = None, **conf:
     return builder.getOrCreate()
 
 
+def sizing(input_bytes: int, cores: int) -> dict[str, str]:
+    """Settings for a job over ``input_bytes``: about 128 MB per shuffle partition, at least two
+    waves of tasks, and larger input splits once there are more of them than the cluster can use.
+
+    AQE merges partitions that turn out small, so the numbers err on the high side.
+    """
+    mb = 1 << 20
+    shuffles = max(2 * cores, -(-input_bytes // (128 * mb)))
+    split = min(max(input_bytes // max(8 * cores, 1), 64 * mb), 512 * mb)
+    return {
+        "spark.sql.shuffle.partitions": str(min(shuffles, 200_000)),
+        "spark.sql.files.maxPartitionBytes": str(split),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 * mb),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(512 * mb),
+    }
+
+
 def shared_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh folder that every executor can reach.
 

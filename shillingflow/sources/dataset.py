@@ -106,19 +106,24 @@ class Dataset:
     def heatmap(self) -> DataFrame:
         return marts.county_heatmap(self.tx)
 
-    @property
+    @cached_property
     def as_of(self) -> Column:
-        """Latest payment time, as a scalar subquery."""
-        return self.payments.agg(F.max("transaction_time")).scalar()
+        """Latest payment time. One value, read once: as a literal it reaches the scan filters."""
+        return _literal_time(self.payments.agg(F.max("transaction_time")))
 
     @property
     def fixed_clock(self) -> Column:
         """A moment just after the newest row, for freshness measures."""
         return F.lit("2001-08-02 00:00:00").cast("timestamp_ntz")
 
-    @property
+    @cached_property
     def raw_as_of(self) -> Column:
-        return self.raw_feed.agg(F.max("received_at")).scalar()
+        return _literal_time(self.raw_feed.agg(F.max("received_at")))
+
+
+def _literal_time(single: DataFrame) -> Column:
+    value = single.first()[0]
+    return F.lit(None if value is None else value.isoformat(sep=" ")).cast("timestamp_ntz")
 
 
 def seconds(sql: str) -> str:

@@ -2,8 +2,9 @@
 
 from pyspark.sql import functions as F
 
-from shillingflow.operators import staging
+from shillingflow.operators import dashboards, staging
 from shillingflow.plans.skew import exact_quantiles, profile_join, top_rows, trailing_counts
+from shillingflow.session import sizing
 
 
 def skewed_tx(spark, n=4000):
@@ -87,3 +88,23 @@ def test_top_rows(spark):
     tx = skewed_tx(spark)
     want = [r.transaction_id for r in tx.orderBy(F.desc("amount"), "transaction_id").limit(700).collect()]
     assert [r.transaction_id for r in top_rows(tx, "amount", ["transaction_id"], 700).collect()] == want
+
+
+def test_recent_rows_keep_their_number_in_the_whole_history(spark):
+    tx = skewed_tx(spark).select(
+        "transaction_id", "customer_phone_number", "transaction_timestamp", "loaded_at",
+        F.lit(None).cast("string").alias("account_reference"), F.to_date("transaction_timestamp").alias("transaction_date"),
+    )
+    as_of = F.lit("2024-01-01 05:00:00").cast("timestamp_ntz")
+    want = dashboards.recent(staging.with_sequence(tx), as_of, 2, "HOURS")
+    for limit in (30, 10**6):
+        got = dashboards.recent_sequenced(tx, as_of, 2, "HOURS", hot_rows=limit)
+        assert got.count() == want.count() > 0
+        assert got.exceptAll(want.select(got.columns)).isEmpty()
+
+
+def test_sizing_grows_with_the_data():
+    small, large = sizing(1 << 20, 8), sizing(100 << 40, 4000)
+    assert small["spark.sql.shuffle.partitions"] == "16"
+    assert int(large["spark.sql.shuffle.partitions"]) == 200_000
+    assert int(large["spark.sql.files.maxPartitionBytes"]) == 512 << 20
