@@ -204,5 +204,15 @@ def account_filter(accounts: list[str] | None, c: str = "account_reference") ->
     return F.coalesce(F.col(c), F.lit("Unassigned")).isin(accounts)
 
 
+def day_of(df: DataFrame, time: str = "transaction_time") -> Column:
+    """The stored date where there is one: partitions and scan filters work on it."""
+    return F.col("transaction_date") if "transaction_date" in df.columns else F.to_date(time)
+
+
+def from_time(df: DataFrame, lower: Column, time: str = "transaction_time") -> DataFrame:
+    """Rows at or after ``lower``, by date first."""
+    return df.filter((day_of(df, time) >= F.to_date(lower)) & (F.col(time) >= lower))
+
+
 def interval(n: int, unit: str) -> Column:
     return F.expr(f"INTERVAL {int(n)} {unit}")

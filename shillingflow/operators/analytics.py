@@ -10,11 +10,7 @@ from ..plans.skew import HOT_ROWS, exact_quantiles, profile_join, top_rows
 
 
 def since(payments: DataFrame, as_of: Column, days: int) -> DataFrame:
-    return payments.filter(F.col("transaction_time") >= as_of - P.interval(days, "DAYS"))
-
-
-def txn_day() -> Column:
-    return F.to_date("transaction_time")
+    return P.from_time(payments, as_of - P.interval(days, "DAYS"))
 
 
 # -- customers -----------------------------------------------------------------------------
@@ -28,7 +24,7 @@ def customer_day_metrics(payments: DataFrame, as_of: Column, days: int = 90, top
     keys = ["phone_number"] if per_customer else ["phone_number", "last_transaction_date"]
     amount = F.col("amount")
     grouped = (
-        since(payments, as_of, days).withColumn("last_transaction_date", txn_day()).groupBy(*keys)
+        since(payments, as_of, days).withColumn("last_transaction_date", P.day_of(payments)).groupBy(*keys)
         .agg(
             F.count("*").alias("transaction_count"),
             F.sum(amount).cast("double").alias("total_amount"),
@@ -153,7 +149,7 @@ def zscore_summary(payments: DataFrame, as_of: Column, days: int = 30, threshold
 # -- forecast ------------------------------------------------------------------------------
 
 def daily_volume(payments: DataFrame, as_of: Column, days: int = 90) -> DataFrame:
-    return since(payments, as_of, days).groupBy(txn_day().alias("transaction_date")).agg(
+    return since(payments, as_of, days).groupBy(P.day_of(payments).alias("transaction_date")).agg(
         F.count("*").alias("transaction_count"), F.sum("amount").cast("double").alias("daily_volume")
     )
 

@@ -98,7 +98,7 @@ def reconcile_daily(raw: DataFrame, staged: DataFrame) -> DataFrame:
 
 
 def bench_select(payments: DataFrame, as_of: Column, days: int = 7) -> DataFrame:
-    return payments.filter(F.col("transaction_time") >= as_of - P.interval(days, "DAYS")).agg(
+    return P.from_time(payments, as_of - P.interval(days, "DAYS")).agg(
         F.count("*").alias("transaction_count"), F.sum("amount").cast("double").alias("total_amount"),
         P.exact_mean("amount").alias("avg_amount"),
     )
@@ -106,7 +106,7 @@ def bench_select(payments: DataFrame, as_of: Column, days: int = 7) -> DataFrame
 
 def bench_complex(payments: DataFrame, as_of: Column, days: int = 30, more_than: int = 5, limit: int = 100) -> DataFrame:
     return (
-        payments.filter(F.col("transaction_time") >= as_of - P.interval(days, "DAYS")).groupBy("phone_number")
+        P.from_time(payments, as_of - P.interval(days, "DAYS")).groupBy("phone_number")
         .agg(F.count("*").alias("transaction_count"), F.sum("amount").cast("double").alias("total_amount"),
              P.exact_mean("amount").alias("avg_amount"), F.max("amount").cast("double").alias("max_amount"))
         .filter(F.col("transaction_count") > more_than)

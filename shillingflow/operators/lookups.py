@@ -85,10 +85,9 @@ def list_transactions(payments: DataFrame, phone: str | None = None, status: str
     if status is not None:
         kept = kept.filter(F.col("transaction_status") == status)
     if start_date is not None:
-        kept = kept.filter(F.col("transaction_time") >= F.lit(dt.date.fromisoformat(start_date)).cast("timestamp_ntz"))
+        kept = kept.filter(P.day_of(kept) >= F.lit(dt.date.fromisoformat(start_date)))
     if end_date is not None:
-        after = dt.date.fromisoformat(end_date) + dt.timedelta(days=1)
-        kept = kept.filter(F.col("transaction_time") < F.lit(after).cast("timestamp_ntz"))
+        kept = kept.filter(P.day_of(kept) <= F.lit(dt.date.fromisoformat(end_date)))
     if min_amount is not None:
         kept = kept.filter(F.col("amount") >= F.lit(str(min_amount)).cast("decimal(12,2)"))
     if max_amount is not None:
@@ -161,7 +160,7 @@ def analytics_summary(payments: DataFrame) -> DataFrame:
 
 def api_daily_summary(payments: DataFrame, day: str) -> DataFrame:
     """One date; the busiest hour, the earlier one on a tie."""
-    per_hour = payments.filter(F.to_date("transaction_time") == F.lit(day).cast("date")).groupBy(
+    per_hour = payments.filter(P.day_of(payments) == F.lit(day).cast("date")).groupBy(
         F.hour("transaction_time").cast("bigint").alias("_hour"), "phone_number", "transaction_status"
     ).agg(F.count("*").alias("_n"), F.sum("amount").alias("_amount"))
     hours = per_hour.groupBy("_hour").agg(F.sum("_n").alias("_n"))
@@ -184,8 +183,8 @@ def api_report(payments: DataFrame, start: str, end: str) -> DataFrame:
     Growth of a day is relative to the previous day that has payments; the report shows the mean.
     """
     lower, upper = (F.lit(x).cast("date") for x in (start, end))
-    kept = payments.filter(F.to_date("transaction_time").between(lower, upper))
-    days = kept.groupBy(F.to_date("transaction_time").alias("day")).agg(
+    kept = payments.filter(P.day_of(payments).between(lower, upper))
+    days = kept.groupBy(P.day_of(kept).alias("day")).agg(
         F.count("*").alias("n"), F.countDistinct("phone_number").alias("customers")
     )
     by_day = Window.orderBy("day")  # one row per calendar day of the report
@@ -209,7 +208,7 @@ def api_report(payments: DataFrame, start: str, end: str) -> DataFrame:
 def report_top_customers(payments: DataFrame, start: str, end: str, limit: int = 10) -> DataFrame:
     lower, upper = (F.lit(x).cast("date") for x in (start, end))
     return (
-        payments.filter(F.to_date("transaction_time").between(lower, upper)).groupBy("phone_number")
+        payments.filter(P.day_of(payments).between(lower, upper)).groupBy("phone_number")
         .agg(F.count("*").alias("transaction_count"), F.sum("amount").cast("double").alias("total_amount"))
         .orderBy(F.desc("total_amount"), "phone_number").limit(limit)
     )

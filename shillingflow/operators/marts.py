@@ -52,7 +52,7 @@ def warehouse_hourly(payments: DataFrame, payment_type: str = "C2B") -> DataFram
     status = F.col("transaction_status")
     ok = F.count_if(status == "completed")
     return payments.groupBy(
-        F.to_date("transaction_time").alias("date"),
+        P.day_of(payments).alias("date"),
         F.hour("transaction_time").cast("bigint").alias("hour"),
         F.lit(payment_type).alias("transaction_type"),
     ).agg(
@@ -67,7 +67,7 @@ def warehouse_hourly(payments: DataFrame, payment_type: str = "C2B") -> DataFram
 
 def warehouse_county(payments: DataFrame) -> DataFrame:
     return payments.groupBy(
-        F.to_date("transaction_time").alias("date"), F.col("region").alias("county_name")
+        P.day_of(payments).alias("date"), F.col("region").alias("county_name")
     ).agg(
         F.count("*").alias("transaction_count"),
         F.sum("amount").cast("double").alias("transaction_volume"),

@@ -29,10 +29,11 @@ def stage_raw(raw: DataFrame) -> DataFrame:
 def _typed(df: DataFrame, amount: str, time: Column | None = None) -> DataFrame:
     if time is not None:
         df = df.withColumn("transaction_time", time)
+    day = "transaction_date" if "transaction_date" in df.columns else "to_date(transaction_time)"
     return df.selectExpr(
         "transaction_id", "phone_number AS customer_phone_number", "account_reference",
         f"{amount} AS transaction_amount", "transaction_time AS transaction_timestamp", "received_at AS loaded_at",
-        "to_date(transaction_time) AS transaction_date",
+        f"{day} AS transaction_date",
         "cast(hour(transaction_time) as bigint) AS transaction_hour",
         "cast(weekday(transaction_time) + 1 as bigint) AS day_of_week",
         f"{P.amount_category_sql('transaction_amount')} AS amount_category",

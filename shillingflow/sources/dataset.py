@@ -139,6 +139,7 @@ def payments(orders: DataFrame) -> DataFrame:
         "cast(cast(o_totalprice as decimal(12,2)) * cast(CASE o_orderkey % 4 WHEN 0 THEN '1.00' WHEN 1 THEN '0.50' "
         "WHEN 2 THEN '0.10' ELSE '0.01' END as decimal(3,2)) as decimal(12,2)) AS amount",
         f"o_orderdate + {seconds('(o_orderkey * 7919) % 86400')} AS transaction_time",
+        "to_date(o_orderdate) AS transaction_date",
         "CASE WHEN o_orderkey % 29 <> 0 THEN o_orderpriority END AS account_reference",
         "CASE o_orderstatus WHEN 'F' THEN 'completed' WHEN 'O' THEN 'pending' ELSE 'failed' END AS transaction_status",
         "cast(174000 + o_custkey % 37 as string) AS business_shortcode",

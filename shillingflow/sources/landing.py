@@ -8,6 +8,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.payments import from_time, interval
+
 
 def first_per_id(events: DataFrame, key: str = "transaction_id", order: str = "received_at") -> DataFrame:
     """Earliest row per id; rows without an id are all kept.
@@ -59,7 +61,7 @@ def append_plain(events: DataFrame, path: str) -> None:
 
 def windowed_scan(payments: DataFrame, as_of, days: int = 30) -> DataFrame:
     """Rows of the last ``days`` days for the analyses."""
-    return payments.filter(F.col("transaction_time") >= as_of - F.expr(f"INTERVAL {int(days)} DAYS")).select(
+    return from_time(payments, as_of - interval(days, "DAYS")).select(
         "transaction_id", "phone_number", "amount", "transaction_time", "business_shortcode",
         *[c for c in ("region", "reference", "payment_method") if c in payments.columns],
     )

@@ -64,6 +64,15 @@ def test_scans_read_only_needed_columns(spark):
     assert "o_custkey" not in plan.split("ReadSchema: ")[1].splitlines()[0]
 
 
+def test_time_ranges_reach_the_scan(spark):
+    d = Dataset(spark, FOLDER)
+    from shillingflow.operators import dashboards, health
+
+    for df in (health.bench_select(d.payments, d.as_of), dashboards.value_mix(d.tx, d.as_of)):
+        pushed = df._jdf.queryExecution().executedPlan().toString().split("PushedFilters: [")[1]
+        assert "GreaterThanOrEqual(o_orderdate," in pushed.split("ReadSchema")[0]
+
+
 def test_shared_dir_follows_the_session(spark):
     base = spark.conf.get("spark.checkpoint.dir", None)
     path = shared_dir(spark, "x")
