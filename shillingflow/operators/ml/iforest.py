@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ...plans.skew import exact_quantiles
+from ...session import write_out
 from .features import FEATURES
 
 TREES, SAMPLE, CONTAMINATION, SEED = 100, 256, 0.01, 42
@@ -136,6 +137,6 @@ def fit(features: DataFrame, row_id: str = "transaction_id", trees: int = TREES,
         grow, NODE_SCHEMA + ", size int"
     ).toPandas()  # bounded: trees * 2 * sample nodes
     forest = Forest(grown.drop(columns="size"), int(grown["size"].max()))
-    scored = features.select(forest.score().alias("score"))
+    scored = write_out(features.select(forest.score().alias("score")), "scores")  # scored once, read twice
     forest.offset = float(exact_quantiles(scored, "score", {"cut": contamination}).first()["cut"])
     return forest

@@ -159,19 +159,23 @@ def top_rows(df: DataFrame, value: str, ties: list[str], k: int) -> DataFrame:
 def exact_quantiles(df: DataFrame, value: str, probs: dict[str, float], by: list[str] | None = None) -> DataFrame:
     """Exact interpolated quantiles without gathering the values of a group in one task.
 
-    Values are counted, the counts are summed in coarse ordered buckets, and only the buckets
-    that hold a wanted rank are looked at value by value.
+    Rows are counted in coarse ordered buckets, and only the buckets that hold a wanted rank are
+    looked at value by value. Over the whole frame the values themselves are never shuffled;
+    ``df`` is read twice. Per group the distinct values are counted once and shared.
     """
     by = by or []
-    counts = (
+    rows = (
         df.select(*by, F.col(value).cast("double").alias("_v")).filter("_v is not null")
-        .groupBy(*by, "_v").agg(F.count("*").alias("_n"))
         .withColumn("_bucket", _value_bucket(F.col("_v")))
     )
+    if by:
+        rows = rows.groupBy(*by, "_bucket", "_v").agg(F.count("*").alias("_n"))
+    else:
+        rows = rows.withColumn("_n", F.lit(1).cast("bigint"))
     groups = Window.partitionBy(*by)
     run = groups.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     histogram = (
-        counts.groupBy(*by, "_bucket").agg(F.sum("_n").alias("_in_bucket"))
+        rows.groupBy(*by, "_bucket").agg(F.sum("_n").alias("_in_bucket"))
         .withColumn("_before", F.coalesce(F.sum("_in_bucket").over(run), F.lit(0)))
         .withColumn("_total", F.sum("_in_bucket").over(groups))
     )
@@ -190,11 +194,12 @@ def exact_quantiles(df: DataFrame, value: str, probs: dict[str, float], by: list
     targets = histogram.filter(wanted).select(*by, "_bucket", "_before", "_total")
     if not by:
         targets = F.broadcast(targets)  # at most two buckets per probability
+    counts = rows.join(targets, by + ["_bucket"]).groupBy(*by, "_bucket", "_v", "_before", "_total").agg(
+        F.sum("_n").alias("_n")
+    )
     inside = Window.partitionBy(*by, "_bucket").orderBy("_v").rowsBetween(Window.unboundedPreceding, -1)
-    values = (
-        counts.join(targets, by + ["_bucket"])
-        .withColumn("_start", F.col("_before") + F.coalesce(F.sum("_n").over(inside), F.lit(0)))
-        .withColumn("_end", F.col("_start") + F.col("_n"))
+    values = counts.withColumn("_start", F.col("_before") + F.coalesce(F.sum("_n").over(inside), F.lit(0))).withColumn(
+        "_end", F.col("_start") + F.col("_n")
     )
 
     def at(rank: Column) -> Column:
