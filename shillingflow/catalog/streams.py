@@ -11,7 +11,7 @@ from ..streaming import lag as G
 from ..streaming import landing as N
 from ..streaming.runner import latest, materialize, run_available, write_batch
 from ..streaming.velocity import velocity, velocity_batches
-from .analytics import EV, HOURLY_SQL, r2, windows_sql
+from .analytics import EV, HOURLY_SQL, r2
 from .base import query
 
 

@@ -105,10 +105,9 @@ def normalize_ke_phone(c) -> Column:
     return F.when(phone.rlike(r"^254[0-9]{9}$"), phone)
 
 
-def phone_prefix(c) -> Column:
+def phone_prefix(c: str) -> Column:
     """Local four-digit prefix of either a ``07..`` or a ``254..`` number."""
-    local = F.regexp_replace(col(c), "^254", "0")
-    return F.substring(local, 1, 4)
+    return F.expr(f"CASE WHEN startswith({c}, '254') THEN concat('0', substr({c}, 4, 3)) ELSE substr({c}, 1, 4) END")
 
 
 def with_region(df: DataFrame, phone: str = "phone_number", out: str = "region") -> DataFrame:
@@ -123,9 +122,13 @@ def with_region(df: DataFrame, phone: str = "phone_number", out: str = "region")
     )
 
 
-def region_risk(c) -> Column:
-    table = F.create_map(*[F.lit(x) for pair in REGION_RISK.items() for x in pair])
-    return F.coalesce(F.try_element_at(table, col(c)), F.lit(DEFAULT_REGION_RISK))
+def region_risk_sql(c: str) -> str:
+    pairs = ", ".join(f"'{region}', {factor}D" for region, factor in REGION_RISK.items())
+    return f"coalesce(try_element_at(map({pairs}), {c}), {DEFAULT_REGION_RISK}D)"
+
+
+def region_risk(c: str) -> Column:
+    return F.expr(region_risk_sql(c))
 
 
 # -- buckets -------------------------------------------------------------------------------

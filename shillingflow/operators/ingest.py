@@ -9,6 +9,10 @@ from ..functions import payments as P
 from ..functions import validation as V
 
 
+# Fixed value: source tag of callback events.
+SOURCE = "daraja_webhook"
+
+
 def event_envelope(callbacks: DataFrame, event_type: str = "c2b_confirmation",
                    received_at: Column | None = None, keep: tuple[str, ...] = ()) -> DataFrame:
     """Callback to normalised event; an empty account reference falls through to the bill number."""
@@ -19,7 +23,7 @@ def event_envelope(callbacks: DataFrame, event_type: str = "c2b_confirmation",
         F.col("TransAmount").cast("string").alias("amount"),
         F.coalesce(P.blank_to_null("AccountReference"), F.col("BillRefNumber")).alias("account_reference"),
         F.col("TransTime").alias("transaction_time"),
-        F.lit("daraja_webhook").alias("source"),
+        F.lit(SOURCE).alias("source"),
         *[F.col(c) for c in keep],
     ]
     if received_at is not None:

@@ -65,30 +65,33 @@ def fraud_features(payments: DataFrame, profiles: dict[str, DataFrame] | None =
     }
     cuts = profiles["cuts"].select(F.struct("p05", "p95")).scalar()
     rows = customer_features_join(payments, profiles["customer"], hot_rows)
-    rows = merchant_features_join(rows, profiles["merchant"], hot_rows)
-    amount, hour, dow = F.col("amount").cast("double"), F.hour("transaction_time"), F.weekday("transaction_time")
-    deviation = F.abs(amount - F.col("customer_avg_amount")) / (F.col("customer_std_amount") + 1)
-
-    def flag(condition):
-        return F.coalesce(condition.cast("double"), F.lit(0.0))
-
-    features = rows.withColumns({
-        "amount_log": F.log1p(amount),
-        "is_round_amount": flag(amount % 1 == 0),
-        "is_very_high_amount": flag(amount > cuts["p95"]),
-        "is_very_low_amount": flag(amount < cuts["p05"]),
-        "hour_of_day": hour.cast("double"),
-        "day_of_week": dow.cast("double"),
-        "is_night_transaction": flag((hour >= 22) | (hour < 6)),
-        "is_weekend": flag(dow >= 5),
-        "phone_length": F.length("phone_number").cast("double"),
-        "customer_transaction_count": F.col("customer_transaction_count").cast("double"),
-        "amount_deviation": F.coalesce(deviation, F.lit(0.0)),
-        "merchant_transaction_count": F.col("merchant_transaction_count").cast("double"),
-        "region_risk_factor": P.region_risk("region"),
-    })
+    rows = merchant_features_join(rows, profiles["merchant"], hot_rows).withColumn("_cuts", cuts)
     keep = [c for c in payments.columns if c not in FEATURES]
-    return features.select(*keep, *FEATURES)
+    return rows.selectExpr(*keep, *[f"{sql} AS {name}" for name, sql in FEATURE_SQL.items()])
+
+
+def _flag(condition: str) -> str:
+    return f"coalesce(cast({condition} as double), 0D)"
+
+
+_AMOUNT = "cast(amount as double)"
+FEATURE_SQL = {
+    "amount_log": f"ln(1 + {_AMOUNT})",
+    "is_round_amount": _flag("amount % 1 = 0"),
+    "is_very_high_amount": _flag(f"{_AMOUNT} > _cuts.p95"),
+    "is_very_low_amount": _flag(f"{_AMOUNT} < _cuts.p05"),
+    "hour_of_day": "cast(hour(transaction_time) as double)",
+    "day_of_week": "cast(weekday(transaction_time) as double)",
+    "is_night_transaction": _flag("hour(transaction_time) >= 22 OR hour(transaction_time) < 6"),
+    "is_weekend": _flag("weekday(transaction_time) >= 5"),
+    "phone_length": "cast(length(phone_number) as double)",
+    "customer_avg_amount": "customer_avg_amount",
+    "customer_transaction_count": "cast(customer_transaction_count as double)",
+    "amount_deviation": f"coalesce(abs({_AMOUNT} - customer_avg_amount) / (customer_std_amount + 1), 0D)",
+    "merchant_avg_amount": "merchant_avg_amount",
+    "merchant_transaction_count": "cast(merchant_transaction_count as double)",
+    "region_risk_factor": P.region_risk_sql("region"),
+}
 
 
 def fill_means(features: DataFrame) -> DataFrame:
