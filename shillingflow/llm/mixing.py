@@ -8,7 +8,8 @@ distributed aggregate over the counts of (source, size), which is all that the r
 
 from __future__ import annotations
 
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -82,20 +83,19 @@ def balance(counts: DataFrame, sources: DataFrame, cap: float = CAP, steps: int
     return state.select("sid", "multiplier")
 
 
-def _copies(part: pd.DataFrame) -> pd.DataFrame:
+def _copies(part: pa.Table) -> pa.Table:
     """Whole copies: largest documents first, each carrying on what rounding left over so far."""
-    part = part.sort_values(["size", "doc_id"], ascending=[False, True], kind="stable", ignore_index=True)
-    carry, out = 0.0, []
-    for size, rate, cap in zip(part["size"].tolist(), part["rate"].tolist(), part["cap"].tolist()):
+    part = part.take(pc.sort_indices(part, [("size", "descending"), ("doc_id", "ascending"), ("row_hash", "ascending")]))
+    carry, out, cap = 0.0, [], int(part["cap"][0].as_py())
+    for size, rate in zip(part["size"].to_pylist(), part["rate"].to_pylist()):
         if size == 0:
-            out.append(min(int(rate + 0.5), int(cap)))
+            out.append(min(int(rate + 0.5), cap))
             continue
         want = rate * size + carry
-        n = min(max(int(want / size + 0.5), 0), int(cap))
+        n = min(max(int(want / size + 0.5), 0), cap)
         carry = want - n * size
         out.append(n)
-    part["copies"] = out
-    return part[["doc_id", "row_hash", "size", "sid", "copies"]]
+    return part.select(["doc_id", "row_hash", "size", "sid"]).append_column("copies", pa.array(out, pa.int32()))
 
 
 def mix(sized: DataFrame, cap: float = CAP, block: int = BLOCK) -> DataFrame:
@@ -117,7 +117,7 @@ def mix(sized: DataFrame, cap: float = CAP, block: int = BLOCK) -> DataFrame:
     parts = F.ceil(F.col("n_docs") / block)
     rated = keyed.join(found, "sid").withColumn("rate", _rate(cap)).withColumn("cap", F.lit(cap)) \
         .withColumn("block", F.pmod(F.xxhash64("doc_id", "row_hash"), parts))
-    rounded = rated.select("doc_id", "row_hash", "size", "sid", "rate", "cap", "block").groupBy("sid", "block").applyInPandas(
+    rounded = rated.select("doc_id", "row_hash", "size", "sid", "rate", "cap", "block").groupBy("sid", "block").applyInArrow(
         _copies, "doc_id long, row_hash long, size long, sid long, copies int")
     return rounded.join(sources.select("sid", "source", "source_size", "target"), "sid")
 

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import mixing, quotes, sharding, topk, urls
+from . import huffman, mixing, packing, quotes, sharding, topk, urls
 from .common import table
 
 
@@ -15,7 +15,9 @@ def _over(name: str, op: Callable[[DataFrame], DataFrame]) -> Callable[[SparkSes
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_squares_packing": _over("documents", packing.op2),
     "op4_virtual_slots": _over("documents", sharding.op4),
+    "op5_huffman_ids": _over("documents", huffman.op5),
     "op6_entropy_balance": _over("documents", mixing.op6),
     "op7_url_trees": _over("pages", urls.op7),
     "op9_threshold_topk": _over("embeddings", topk.op9),
