@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import huffman, mixing, packing, quality, quotes, sharding, topk, urls
+from . import huffman, minhash, mixing, packing, quality, quotes, sharding, topk, urls
 from .common import table
 
 
@@ -15,6 +15,7 @@ def _over(name: str, op: Callable[[DataFrame], DataFrame]) -> Callable[[SparkSes
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_minhash": _over("documents", minhash.op1),
     "op2_squares_packing": _over("documents", packing.op2),
     "op3_kneser_ney": _over("documents", quality.op3),
     "op4_virtual_slots": _over("documents", sharding.op4),

@@ -17,6 +17,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .hashing import SpanHasher
+
 VOCABULARY = "word_bpe_49k.json"
 CHUNK = 2_000_000  # characters cut at a time
 SLOTS = 1 << 21
@@ -45,9 +47,7 @@ class Encoder:
 
         self.library = Tokenizer.from_file(path)
         self.kinds = _classes()
-        rng = np.random.Generator(np.random.PCG64(11))
-        self.mixed = rng.integers(1, 1 << 63, 256, dtype=np.uint64) | np.uint64(1)
-        self.powers = self.inverse = np.ones(1, np.uint64)
+        self.hashes = SpanHasher()
         self._clear()
 
     def _clear(self) -> None:
@@ -55,15 +55,6 @@ class Encoder:
         self.at = np.zeros(SLOTS, np.int64)  # place in ``first``
         self.first, self.pool = np.zeros(1, np.int64), np.zeros(0, np.uint32)
 
-    def _grow(self, n: int) -> None:
-        if len(self.powers) < n:
-            base = np.uint64(0x9E3779B97F4A7C15)
-            step = np.full(n, base, np.uint64)
-            step[0] = 1
-            self.powers = np.cumprod(step, dtype=np.uint64)
-            step[1:] = np.uint64(pow(int(base), -1, 1 << 64))
-            self.inverse = np.cumprod(step, dtype=np.uint64)
-
     def _pieces(self, data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Starts and ends of the pieces of lower-cased bytes; a zero byte ends a text."""
         kind = self.kinds[data]
@@ -87,16 +78,6 @@ class Encoder:
         end = np.append(stop, len(data))[np.searchsorted(stop, begin, side="right")]
         return begin, end
 
-    def _hashes(self, data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
-        self._grow(len(data) + 1)
-        sums = np.zeros(len(data) + 1, np.uint64)
-        np.cumsum(self.mixed[data] * self.powers[: len(data)], out=sums[1:])
-        h = (sums[end] - sums[begin]) * self.inverse[begin]
-        h ^= h >> np.uint64(32)
-        h *= np.uint64(0xD6E8FEB86659FD93)
-        h ^= h >> np.uint64(32)
-        return h | np.uint64(1)  # 0 marks a free slot
-
     def _learn(self, words: list[bytes]) -> np.ndarray:
         """Adds pieces to the pool and returns their places."""
         counts, parts = [], []
@@ -118,7 +99,7 @@ class Encoder:
         begin, end = self._pieces(data)
         if not len(begin):
             return np.zeros(0, np.uint32), np.zeros(len(texts), np.int64)
-        h = self._hashes(data, begin, end)
+        h = self.hashes(data, begin, end) | np.uint64(1)  # 0 marks a free slot
         if len(self.pool) > POOL:
             self._clear()
         slot = (h >> np.uint64(20)).astype(np.int64) & (SLOTS - 1)
