@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import huffman, minhash, mixing, packing, quality, quotes, sharding, topk, urls
+from . import huffman, minhash, mixing, packing, quality, quotes, sharding, suffixes, topk, urls
 from .common import table
 
 
@@ -22,6 +22,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_huffman_ids": _over("documents", huffman.op5),
     "op6_entropy_balance": _over("documents", mixing.op6),
     "op7_url_trees": _over("pages", urls.op7),
+    "op8_suffix_merge": _over("documents", suffixes.op8),
     "op9_threshold_topk": _over("embeddings", topk.op9),
     "op10_quote_links": _over("conversations", quotes.op10),
 }
