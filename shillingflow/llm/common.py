@@ -28,6 +28,16 @@ def same(left: DataFrame, right: DataFrame, names: list[str]) -> Column:
     return cond
 
 
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """The names, with underscores before them where the table has them already."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for n in names:
+        while n.lower() in taken:
+            n = f"_{n}"
+        out.append(n)
+    return out
+
+
 def with_running(df: DataFrame, keys: list[str], order: list[str], weight: Column | None, out: str) -> DataFrame:
     """Adds ``out``: the sum of ``weight`` (or the number) of the rows that precede a row within its key.
 
@@ -36,16 +46,17 @@ def with_running(df: DataFrame, keys: list[str], order: list[str], weight: Colum
     dealt rows are written to the shared folder, which fixes the parts for both uses.
     """
     spark = df.sparkSession
-    ranged = df.withColumn("_weight", F.lit(1).cast("long") if weight is None else weight.cast("long"))
+    heavy, part, inner, base = fresh(df, "_weight", "_part", "_inside", "_base")
+    ranged = df.withColumn(heavy, F.lit(1).cast("long") if weight is None else weight.cast("long"))
     ranged = ranged.repartitionByRange(partitions(spark), *[F.col(c) for c in [*keys, *order]])
-    placed = write_out(ranged.withColumn("_part", F.spark_partition_id()), "running")
-    per = placed.groupBy("_part", *keys).agg(F.sum("_weight").alias("_sum"))
-    earlier = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    base = per.select("_part", *keys, F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_base"))
-    inside = Window.partitionBy("_part", *keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    inner = placed.withColumn("_inside", F.coalesce(F.sum("_weight").over(inside), F.lit(0)))
-    joined = inner.join(base, same(inner, base, ["_part", *keys]))
-    return joined.select(*[inner[c] for c in df.columns if c != out], (F.col("_inside") + F.col("_base")).alias(out))
+    placed = write_out(ranged.withColumn(part, F.spark_partition_id()), "running")
+    per = placed.groupBy(part, *keys).agg(F.sum(heavy).alias(heavy))
+    earlier = Window.partitionBy(*keys).orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
+    before = per.select(part, *keys, F.coalesce(F.sum(heavy).over(earlier), F.lit(0)).alias(base))
+    inside = Window.partitionBy(part, *keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    summed = placed.withColumn(inner, F.coalesce(F.sum(heavy).over(inside), F.lit(0)))
+    joined = summed.join(before, same(summed, before, [part, *keys]))
+    return joined.select(*[summed[c] for c in df.columns if c != out], (F.col(inner) + F.col(base)).alias(out))
 
 
 def groups_for(rows: int, per_group: int, least: int = 1) -> int:

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import write_out
-from .common import WORD, same
+from .common import WORD, fresh, same
 
 CAP = 3.0
 BLOCK = 5000  # documents rounded together
@@ -134,8 +134,7 @@ def op6(docs: DataFrame) -> DataFrame:
 
 def mixed_documents(docs: DataFrame) -> DataFrame:
     """The documents, each as often as the mix takes it; all columns stay as they are."""
-    keyed = docs.withColumn("_hash", F.xxhash64("text"))
-    taken = mix(sized_documents(docs)).filter("copies > 0").groupBy("doc_id", "row_hash").agg(
-        F.max("copies").alias("_copies"))
-    joined = keyed.join(taken, keyed["doc_id"].eqNullSafe(taken["doc_id"]) & (keyed["_hash"] == taken["row_hash"]))
-    return joined.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(*[keyed[c] for c in docs.columns])
+    copy, = fresh(docs, "_copy")
+    taken = mix(sized_documents(docs)).filter("copies > 0").groupBy("doc_id", "row_hash").agg(F.max("copies").alias("times"))
+    met = docs.join(taken, docs["doc_id"].eqNullSafe(taken["doc_id"]) & (F.xxhash64(docs["text"]) == taken["row_hash"]))
+    return met.select(*[docs[c] for c in docs.columns], F.explode(F.sequence(F.lit(1), taken["times"])).alias(copy)).drop(copy)

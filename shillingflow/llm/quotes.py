@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from ..session import write_out
 from .common import same, with_running
 
-MARKS = r"^[ \t]*(?:>[ \t]?)+"
+MARKS = r"^[ \t]*>[> \t]*"
 #: Lines that announce a quote, in the languages of the tables; fixed values.
 ANNOUNCED = (
     r"^On .+ wrote:$",
@@ -128,21 +128,23 @@ def reply_ordered(messages: DataFrame) -> DataFrame:
     replaced and all others stay. An empty table gives an empty one.
     """
     added = ["n_quoted", "n_linked", "reply_turn", "thread_turn", "depth", "position", "content", "chat"]
-    rows = parsed(messages.drop(*added)).withColumn("_hash", F.xxhash64("text"))
+    used = ["conv_id", "turn", "role", "text"]
+    others = [c for c in messages.columns if c not in used + added]
+    rest = F.struct(*[F.col(c) for c in others]) if others else F.lit(None).cast("boolean")
+    rows = parsed(messages.select(*used, rest.alias("rest"))).withColumn("text_hash", F.xxhash64("text"))
     quoting = rows.filter("quoting and conv_id is not null and turn is not null").select("conv_id", "turn", "text").distinct()
     quoted = write_out(passages(quoting), "passages")
     linked = write_out(links(quoted, rows.filter("conv_id is not null").select("conv_id", "turn", "content")), "links")
     counts = quoted.join(linked, ["conv_id", "turn", "text_hash", "number", "level"], "left").groupBy("conv_id", "turn", "text_hash").agg(
         F.count(F.lit(1)).alias("n_quoted"), F.count("writer").alias("n_linked"))
     told = threads(replies(linked))
-    out = rows.join(counts, same(rows, counts, ["conv_id", "turn"]) & (rows["_hash"] == counts["text_hash"]), "left").select(
-        rows["*"], "n_quoted", "n_linked")
+    out = rows.join(counts, same(rows, counts, ["conv_id", "turn", "text_hash"]), "left").select(rows["*"], "n_quoted", "n_linked")
     out = out.join(told, same(out, told, ["conv_id", "turn"]), "left").select(
         out["*"], told["reply_turn"], F.coalesce(told["root"], out["turn"]).alias("thread_turn"), F.coalesce("depth", F.lit(0)).alias("depth"))
     out = out.fillna({"n_quoted": 0, "n_linked": 0}).withColumn(
         "chat", F.concat(F.lit("<|"), F.coalesce("role", F.lit("unknown")), F.lit("|>\n"), F.col("content"), F.lit("\n")))
-    placed = with_running(out, ["conv_id"], ["thread_turn", "depth", "turn", "_hash"], None, "position")
-    return placed.drop("_hash", "quoting")
+    placed = with_running(out, ["conv_id"], ["thread_turn", "depth", "turn", "text_hash"], None, "position")
+    return placed.select(*[c if c in used else f"rest.`{c}`" for c in messages.columns if c not in added], *added)
 
 
 def op10(messages: DataFrame) -> DataFrame:

@@ -126,20 +126,20 @@ def judge(pages: DataFrame, rules: tuple[Rule, ...] = RULES, fit_rows: int = FIT
     Repeated rows are judged alike; columns of the added names are replaced, all others stay.
     """
     own = [c for c in pages.columns if c not in ("host", "path", "rule", "verdict", "score")]
-    parts = with_rule(with_parts(pages.select(*own)), rules)
-    kept = parts.select(*own, "host", "path", "rule", "rule_verdict")
-    labelled = lexical(parts.filter("rule_verdict is not null").select("url", "host", "path", "rule_verdict"))
+    others = F.struct(*[F.col(c) for c in own]).alias("row")
+    kept = with_rule(with_parts(pages.select(others, "url")), rules)
+    labelled = lexical(kept.filter("rule_verdict is not null").drop("row"))
     model = fit(labelled, fit_rows)
+    shape = ["row.*", "host", "path", "rule", "verdict", "score"]
+    nothing = F.lit(None).cast("double")
     if model is None:
         seen = labelled.select("rule_verdict").first()
-        only = F.lit(seen[0] if seen else "allow")
-        return kept.select(*own, "host", "path", "rule", F.coalesce("rule_verdict", only).alias("verdict"), F.lit(None).cast("double").alias("score"))
+        return kept.withColumn("verdict", F.coalesce("rule_verdict", F.lit(seen[0] if seen else "allow"))).withColumn("score", nothing).select(*shape)
     open_rows = with_suffix(lexical(kept.filter("rule_verdict is null")), labelled)
     scored = model.transform(VectorAssembler(inputCols=FEATURES, outputCol="features").transform(open_rows))
-    ruled = kept.filter("rule_verdict is not null").select(
-        *own, "host", "path", "rule", F.col("rule_verdict").alias("verdict"), F.lit(None).cast("double").alias("score"))
-    return ruled.unionByName(scored.select(*own, "host", "path", "rule", F.when(F.col("prediction") > 0.5, "block").otherwise("allow").alias("verdict"),
-                                           F.col("prediction").alias("score")))
+    scored = scored.withColumn("verdict", F.when(F.col("prediction") > 0.5, "block").otherwise("allow")).withColumn("score", F.col("prediction"))
+    ruled = kept.filter("rule_verdict is not null").withColumn("verdict", F.col("rule_verdict")).withColumn("score", nothing)
+    return ruled.select(*shape).unionByName(scored.select(*shape))
 
 
 def op7(pages: DataFrame) -> DataFrame:
