@@ -9,7 +9,7 @@ side by side, so a task holds a bounded group and the loss is at most about one
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
@@ -51,26 +51,27 @@ def assign(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
 
 def pieces(docs: DataFrame, capacity: int = CAPACITY, end_id: int | None = 0, vocab: str | None = None) -> DataFrame:
     """``doc_id, piece, start, length, ids``: only documents longer than a sequence are cut."""
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sizes = batch.column("n_tokens").to_numpy()
-            n = -(-sizes // capacity)
-            doc = np.repeat(np.arange(len(n)), n)
-            piece = np.arange(len(doc)) - np.repeat(np.cumsum(n) - n, n)
-            start = piece * capacity
-            length = np.minimum(capacity, sizes[doc] - start)
-            data = batch.column("ids")
-            parts = [data[d].as_py() if size == sizes[d] else pack_ids(unpack_ids(data[d].as_py())[lo:lo + size])
-                     for d, lo, size in zip(doc.tolist(), start.tolist(), length.tolist())]
-            yield pa.RecordBatch.from_arrays([
-                batch.column("doc_id").take(pa.array(doc)), pa.array(piece, pa.int32()), pa.array(start, pa.int64()),
-                pa.array(length, pa.int64()), pa.array(parts, pa.binary())], ["doc_id", "piece", "start", "length", "ids"])
-
-    return tokenize(docs, vocab, end_id).mapInArrow(cut, "doc_id long, piece int, start long, length long, ids binary")
-
-
-def pack(docs: DataFrame, capacity: int = CAPACITY, end_id: int | None = 0, vocab: str | None = None) -> DataFrame:
-    """The pieces with ``sequence_id`` and ``offset``.
+    def cut(docs: pa.Array, ids: list[np.ndarray]) -> pa.RecordBatch:
+        sizes = np.array([len(x) for x in ids], np.int64)
+        n = -(-sizes // capacity)
+        doc = np.repeat(np.arange(len(n)), n)
+        piece = np.arange(len(doc)) - np.repeat(np.cumsum(n) - n, n)
+        start = piece * capacity
+        parts = [pack_ids(ids[d][lo:lo + capacity]) for d, lo in zip(doc.tolist(), start.tolist())]
+        return pa.RecordBatch.from_arrays([
+            docs.take(pa.array(doc)), pa.array(piece, pa.int32()), pa.array(start, pa.int64()),
+            pa.array(np.minimum(capacity, sizes[doc] - start), pa.int64()), pa.array(parts, pa.binary())],
+            ["doc_id", "piece", "start", "length", "ids"])
+
+    return tokenize(docs, vocab, end_id, cut, "doc_id long, piece int, start long, length long, ids binary")
+
+
+PACKED = "doc_id long, piece int, start long, length long, ids binary, sequence_id long, offset long"
+
+
+def pack(docs: DataFrame, capacity: int = CAPACITY, end_id: int | None = 0, vocab: str | None = None,
+         present: Callable[[pa.Table], pa.Table] | None = None, schema: str = PACKED) -> DataFrame:
+    """The pieces with ``sequence_id`` and ``offset``; ``present`` may give other columns of a packed group.
 
     Null and empty texts are a piece of the end id alone (without an end id, none); repeated rows are
     packed as rows of their own; very long texts give many pieces, dealt to groups one by one; an empty
@@ -84,17 +85,15 @@ def pack(docs: DataFrame, capacity: int = CAPACITY, end_id: int | None = 0, voca
         part = part.take(pc.sort_indices(part, [("length", "descending"), ("doc_id", "ascending"), ("piece", "ascending")]))
         sequence, offset = assign(part["length"].to_numpy(), capacity)
         sequence += part["group"][0].as_py() << 32
-        return part.drop_columns(["group"]).append_column("sequence_id", pa.array(sequence)).append_column("offset", pa.array(offset))
+        part = part.drop_columns(["group"]).append_column("sequence_id", pa.array(sequence)).append_column("offset", pa.array(offset))
+        return present(part) if present else part
 
-    return dealt.groupBy("group").applyInArrow(
-        place, "doc_id long, piece int, start long, length long, ids binary, sequence_id long, offset long")
+    return dealt.groupBy("group").applyInArrow(place, schema)
 
 
 def op2(docs: DataFrame) -> DataFrame:
-    def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            crc = [zlib.crc32(unpack_ids(x.as_py()).tobytes()) for x in batch.column("ids")]
-            yield batch.drop_columns(["ids"]).append_column("ids_crc32", pa.array(crc, pa.int64()))
+    def digest(part: pa.Table) -> pa.Table:
+        crc = [zlib.crc32(unpack_ids(x).tobytes()) for x in part["ids"].to_pylist()]
+        return part.drop_columns(["ids"]).append_column("ids_crc32", pa.array(crc, pa.int64()))
 
-    return pack(docs).mapInArrow(
-        digest, "doc_id long, piece int, start long, length long, sequence_id long, offset long, ids_crc32 long")
+    return pack(docs, present=digest, schema=PACKED.replace("ids binary, ", "") + ", ids_crc32 long")

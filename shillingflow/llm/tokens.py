@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import os
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -20,9 +20,9 @@ from pyspark.sql import functions as F
 from .hashing import SpanHasher
 
 VOCABULARY = "word_bpe_49k.json"
-CHUNK = 2_000_000  # characters cut at a time
-SLOTS = 1 << 21
-POOL = 24_000_000  # ids kept for known pieces; the table starts anew beyond that
+CHUNK = 500_000  # characters cut at a time
+SLOTS = 1 << 20
+POOL = 6_000_000  # ids kept for known pieces; the table starts anew beyond that
 
 #: White space, ASCII marks and precomposed Latin letters: composed, and lower-cased alike everywhere.
 PLAIN = "\t\n\r -~À-ÖØ-öø-įı-ɏ"
@@ -186,8 +186,18 @@ def unpack_ids(data: bytes) -> np.ndarray:
     return np.frombuffer(data, "<u2" if data[0] == 2 else "<u4", offset=1).astype("<u4")
 
 
-def tokenize(docs: DataFrame, vocab: str | None = None, end_id: int | None = None) -> DataFrame:
+Present = Callable[[pa.Array, list[np.ndarray]], pa.RecordBatch]
+
+
+def whole(docs: pa.Array, ids: list[np.ndarray]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([docs, pa.array([pack_ids(x) for x in ids], pa.binary()), pa.array([len(x) for x in ids], pa.int64())],
+                                      ["doc_id", "ids", "n_tokens"])
+
+
+def tokenize(docs: DataFrame, vocab: str | None = None, end_id: int | None = None, present: Present = whole,
+             schema: str = "doc_id long, ids binary, n_tokens long") -> DataFrame:
     """``doc_id, ids, n_tokens``: packed ids of whole texts, with ``end_id`` appended where one is given.
+    ``present`` may give other rows of a batch's documents.
 
     Null and empty texts have only the end id; repeated rows stay repeated; other columns are left out."""
     tail = np.array([] if end_id is None else [end_id], np.uint32)
@@ -195,11 +205,8 @@ def tokenize(docs: DataFrame, vocab: str | None = None, end_id: int | None = Non
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(vocab or vocabulary())
         for batch in batches:
-            for lo in range(0, batch.num_rows, 1000):
-                part = batch.slice(lo, 1000)
-                found = [np.append(x, tail) for x in enc.encode(part.column("text").to_pylist())]
-                yield pa.RecordBatch.from_arrays([
-                    part.column("doc_id"), pa.array([pack_ids(x.astype(np.uint32)) for x in found], pa.binary()),
-                    pa.array([len(x) for x in found], pa.int64())], ["doc_id", "ids", "n_tokens"])
-
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, ids binary, n_tokens long")
+            for lo in range(0, batch.num_rows, 500):
+                part = batch.slice(lo, 500)
+                yield present(part.column("doc_id"), [np.append(x, tail).astype(np.uint32) for x in enc.encode(part.column("text").to_pylist())])
+
+    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, schema)
