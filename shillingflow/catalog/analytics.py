@@ -114,10 +114,11 @@ SELECT count(*) AS transaction_count, count(DISTINCT phone_number) AS unique_cus
   coalesce(CAST(sum({NUM}) AS DOUBLE), 0) AS total_amount, coalesce(CAST(sum({NUM}) AS DOUBLE) / count({NUM}), 0) AS avg_amount,
   coalesce(CAST(max({NUM}) AS DOUBLE), 0) AS max_amount, coalesce(CAST(min({NUM}) AS DOUBLE), 0) AS min_amount
 FROM raw_feed WHERE received_at > {RAW_NOW} - INTERVAL 720 HOUR""")
-q("staleness_check", lambda d: H.staleness_check(d.raw_feed, d.fixed_clock), """
+RAW_CLOCK = "(SELECT max(received_at) + INTERVAL 12 HOUR FROM raw_feed)"
+q("staleness_check", lambda d: H.staleness_check(d.raw_feed, d.fixed_clock), f"""
 SELECT max(received_at) AS last_transaction_time,
-  CAST(epoch(TIMESTAMP '2001-08-02 00:00:00') - epoch(max(received_at)) AS BIGINT) AS staleness_seconds,
-  CASE WHEN epoch(TIMESTAMP '2001-08-02 00:00:00') - epoch(max(received_at)) < 300 THEN 'healthy' ELSE 'warning' END AS status
+  CAST(epoch({RAW_CLOCK}) - epoch(max(received_at)) AS BIGINT) AS staleness_seconds,
+  CASE WHEN epoch({RAW_CLOCK}) - epoch(max(received_at)) < 300 THEN 'healthy' ELSE 'warning' END AS status
 FROM raw_feed""")
 q("db_status", lambda d: H.db_status(d.payments, d.as_of), f"""
 SELECT count(*) AS raw_transactions, count(DISTINCT phone_number) AS unique_customers,
@@ -157,21 +158,29 @@ FROM {since(_days)} GROUP BY 1 HAVING count(*) > {_more} ORDER BY total_amount D
 # -- analyses ------------------------------------------------------------------------------
 
 
-def customer_day_sql(days, top):
+def customer_day_sql(days, top=None):
     return f"""
 SELECT phone_number, last_transaction_date, transaction_count, total_amount, avg_amount, max_amount, min_amount,
   {r2('std', 4)} AS std_amount, total_amount / transaction_count AS avg_transaction_value,
-  transaction_count / 90.0::DOUBLE AS transaction_frequency, {r2('std / (avg_amount + 1)', 4)} AS volatility,
+  transaction_count / {days}.0::DOUBLE AS transaction_frequency, {r2('std / (avg_amount + 1)', 4)} AS volatility,
   {r2('total_amount / max(total_amount) OVER () * 0.5::DOUBLE + transaction_count / max(transaction_count) OVER () * 0.3::DOUBLE + avg_amount / max(avg_amount) OVER () * 0.2::DOUBLE', 4)}
     AS customer_value_score
 FROM (SELECT phone_number, CAST(transaction_time AS DATE) AS last_transaction_date, count(*) AS transaction_count,
     CAST(sum(amount) AS DOUBLE) AS total_amount, CAST(sum(amount) AS DOUBLE) / count(*) AS avg_amount,
     CAST(max(amount) AS DOUBLE) AS max_amount, CAST(min(amount) AS DOUBLE) AS min_amount,
     coalesce(stddev_samp(CAST(amount AS DOUBLE)), 0) AS std
-  FROM {since(days)} GROUP BY 1, 2 ORDER BY total_amount DESC, phone_number, last_transaction_date LIMIT {top}) g"""
-
-
-q("customer_day_metrics", lambda d: A.customer_day_metrics(d.payments, d.as_of), customer_day_sql(90, 10000))
+  FROM {since(days)} GROUP BY 1, 2{f' ORDER BY total_amount DESC, phone_number, last_transaction_date LIMIT {top}' if top else ''}) g"""
+
+
+q("customer_day_metrics", lambda d: A.customer_day_metrics(d.payments, d.as_of), customer_day_sql(90))
+q("customer_day_metrics_all", lambda d: A.customer_day_metrics(d.payments, d.as_of, days=3650), customer_day_sql(3650))
+BAND = "CASE WHEN total_amount >= 100000 THEN 'large' WHEN transaction_count > 1 THEN 'busy' ELSE 'other' END"
+q("segment_stats_given", lambda d: A.segment_stats(
+    A.customer_day_metrics(d.payments, d.as_of, days=3650).withColumn("segment_name", F.expr(BAND))), f"""
+SELECT segment_name, count(*) AS customers, {r2('avg(transaction_count)')} AS mean_count, {r2('avg(total_amount)')} AS mean_total,
+  {r2('stddev_samp(total_amount)')} AS std_total, {r2('avg(avg_amount)')} AS mean_avg,
+  {r2('avg(customer_value_score)')} AS mean_score, {r2('quantile_cont(total_amount, 0.5)')} AS median_total
+FROM (SELECT *, {BAND} AS segment_name FROM ({customer_day_sql(3650)}) m) s GROUP BY 1""")
 q("customer_day_metrics_top", lambda d: A.customer_day_metrics(d.payments, d.as_of, days=3650, top=1000),
   customer_day_sql(3650, 1000))
 HOURS = """(SELECT phone_number, date_trunc('hour', transaction_time) AS th, count(*) AS n, sum(amount) AS amount

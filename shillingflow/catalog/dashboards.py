@@ -17,6 +17,8 @@ def last(n, unit, table="tx"):
 TODAY = f"tx WHERE transaction_date = CAST({NOW} AS DATE)"
 
 
+RAW_CLOCK = "(SELECT max(received_at) + INTERVAL 12 HOUR FROM raw_feed)"
+
 def panel(key, build, sql):
     query(key, sql)(build)
 
@@ -58,7 +60,7 @@ panel("exec_daily_trend", lambda d: D.daily_trend(d.daily, d.as_of),
 panel("ops_throughput_5m", lambda d: D.throughput(d.tx, d.as_of),
       f"SELECT count(*) AS value FROM {last(5, 'MINUTE')}")
 panel("ops_freshness", lambda d: D.freshness_minutes(d.stg_raw, d.fixed_clock),
-      """SELECT coalesce(CAST(epoch(TIMESTAMP '2001-08-02 00:00:00') - epoch(max(received_at)) AS DOUBLE) / 60, 0)
+      f"""SELECT coalesce(CAST(epoch({RAW_CLOCK}) - epoch(max(received_at)) AS DOUBLE) / 60, 0)
       AS value FROM stg_raw""")
 panel("ops_duplicate_ids", lambda d: D.duplicate_ids(d.stg_raw),
       """SELECT count(*) AS value FROM (SELECT transaction_id FROM stg_raw WHERE transaction_id IS NOT NULL
@@ -137,9 +139,9 @@ panel("dq_invalid_amount", lambda d: D.invalid_amount(d.stg_raw),
       """SELECT count(*) AS value FROM stg_raw WHERE TRY_CAST(amount AS DECIMAL(12,2)) IS NULL
       OR TRY_CAST(amount AS DECIMAL(12,2)) < 0""")
 panel("dq_model_freshness",
-      lambda d: D.model_freshness(d.hourly, d.fixed_clock, built_at="hour_bucket"),
-      """SELECT coalesce(CAST(epoch(TIMESTAMP '2001-08-02 00:00:00') - epoch(max(hour_bucket)) AS DOUBLE) / 60, 0)
-      AS value FROM hourly""")
+      lambda d: D.model_freshness(d.hourly.withColumn("created_at", d.raw_as_of), d.fixed_clock),
+      f"""SELECT coalesce(CAST(epoch({RAW_CLOCK}) - epoch(max(created_at)) AS DOUBLE) / 60, 0) AS value
+      FROM (SELECT (SELECT max(received_at) FROM raw_feed) AS created_at FROM hourly) h""")
 for _key, _days in (("dq_raw_vs_staged", 90), ("raw_vs_staged_hourly", 3000)):
     panel(_key, lambda d, days=_days: D.raw_vs_staged(d.stg_raw, d.staged, d.raw_as_of, days=days),
           f"""SELECT coalesce(r.time, s.time) AS time, coalesce(raw_events, 0) AS raw_events,

@@ -204,10 +204,18 @@ SELECT payment_key, received_at, CASE WHEN payment_key % 7 = 0 THEN 'missing' WH
   ELSE 'ok' END AS status FROM raw_feed""")
 
 REDACTED = "text"
+_EDGE = f"[^{S.WORD}]"
 for _pattern, _with in S.REDACTIONS:
-    REDACTED = f"regexp_replace({REDACTED}, '{_pattern}', '{_with}', 'g')"
+    if _pattern.startswith("(?<!"):  # no look-around here: the neighbours are kept, and a second pass takes numbers that share one
+        for _ in range(2):
+            REDACTED = f"regexp_replace({REDACTED}, '(^|{_EDGE})\\p{{Nd}}{{10,12}}($|{_EDGE})', '\\1{_with}\\2', 'g')"
+    else:
+        REDACTED = f"regexp_replace({REDACTED}, '{_pattern}', '{_with}', 'g')"
 q("redact_text", lambda d: d.table("documents").select("doc_id", S.redact_text("text").alias("text")),
   f"SELECT doc_id, {REDACTED} AS text FROM documents")
+_ACCENTS = " josé@mail.ke, müller@büro.de 0712345678 254712345678 Ä0712345678 ٠٧١٢٣٤٥٦٧٨ Ελένη.κ@ταχυδρομείο.gr"
+q("redact_accents", lambda d: d.table("documents").select("doc_id", S.redact_text(F.concat("text", F.lit(_ACCENTS))).alias("text")),
+  f"SELECT doc_id, {REDACTED} AS text FROM (SELECT doc_id, text || '{_ACCENTS}' AS text FROM documents) t")
 q("redact_payloads", lambda d: d.payments.select("transaction_id", S.redact_text(F.concat(
     F.lit("payer "), "phone_number", F.lit(' sent {"amount": '), F.col("amount").cast("string"),
     F.lit("} to shop-"), "business_shortcode", F.lit("@till.example"))).alias("text")),

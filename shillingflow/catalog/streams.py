@@ -13,16 +13,30 @@ from ..streaming.runner import latest, materialize, run_available, write_batch
 from ..streaming.velocity import velocity, velocity_batches
 from .analytics import EV, HOURLY_SQL, r2
 from .base import query
+from .ingest import LAST_CALL
 
 
 def q(key, build, sql=None):
     query(key, sql)(build)
 
 
+ORDER = {"events": "ts", "orders": "o_orderdate"}
+BATCHES = 3
+
+
 def source(d, table):
-    """The parquet file of a table as a file stream."""
+    """A table as a file stream of several micro-batches, oldest rows first.
+
+    The parts are written one after the other, since files are read in the order of their times."""
+    rows, path, by = d.table(table), shared_dir(d.spark, f"stream-{table}"), F.unix_seconds(F.col(ORDER[table]).cast("timestamp"))
+    cuts = [None, *rows.select(by.alias("t")).stat.approxQuantile("t", [i / BATCHES for i in range(1, BATCHES)], 0.01), None]
+    for n, (low, high) in enumerate(zip(cuts, cuts[1:])):
+        part = rows if low is None else rows.filter(by >= low)
+        part = part if high is None else part.filter(by < high)
+        part.coalesce(1).write.parquet(f"{path}/{n}")
     return (
-        d.spark.readStream.schema(data.LAYOUTS[table]).option("pathGlobFilter", f"{table}.parquet").parquet(d.folder)
+        d.spark.readStream.schema(data.LAYOUTS[table]).option("maxFilesPerTrigger", 1)
+        .option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").parquet(path)
     )
 
 
@@ -117,7 +131,7 @@ def _agg_sink(d):
     for kind, build in (("hourly", E.hourly), ("15min", E.sliding)):
         messages = E.aggregate_messages(build(enriched(d)), kind)
         run_available(messages, lambda df, n, k=kind: write_batch(df, f"{path}/out/kind={k}", n), f"{path}/{kind}", "update")
-    rows = d.spark.read.parquet(f"{path}/out")
+    rows = E.newest_messages(d.spark.read.parquet(f"{path}/out"))
     kind = F.get_json_object("value", "$.aggregation_type")
     return rows.groupBy("key", kind.alias("aggregation_type")).agg(
         F.count("*").alias("messages"),
@@ -162,17 +176,22 @@ FROM raw_feed WHERE transaction_time = 'not-a-time'""")
 def _stk_stream(d):
     p = data.payments(source(d, "orders"))
     requests = data.stk_requests(p).withColumn("initiated_at", F.col("initiated_at").cast("timestamp"))
-    calls = stk.stk_flatten(data.stk_messages(data.payments(source(d, "orders"))), keep=("received_at",))
+    calls = stk.stk_flatten(data.stk_messages(p), keep=("received_at",))
     return N.match_stk(requests, calls.withColumn("received_at", F.col("received_at").cast("timestamp")))
 
 
-q("stream_stk_match", lambda d: naive(
-    materialize(_stk_stream(d), "stk").filter("status <> 'expired' or result_code is not null").drop("batch"),
-    "initiated_at", "completed_at"), """
+def _stk_state(d):
+    state = latest(materialize(_stk_stream(d), "stk", "update"), ["checkout_request_id"])
+    return naive(N.expire(state, d.as_of.cast("timestamp")), "initiated_at", "completed_at")
+
+
+q("stream_stk_match", _stk_state, f"""
 SELECT r.checkout_request_id, r.phone_number, r.amount, account_reference, initiated_at,
-  CASE result_code WHEN 0 THEN 'completed' WHEN 1 THEN 'cancelled' WHEN 10 THEN 'expired' ELSE 'failed' END AS status,
-  result_code, result_desc, received_at AS completed_at
-FROM stk_requests r JOIN stk_calls c ON r.checkout_request_id = c.checkout_request_id""")
+  CASE WHEN called_at IS NULL THEN
+    CASE WHEN initiated_at < (SELECT as_of FROM clock) - INTERVAL 2 MINUTE THEN 'expired' ELSE 'initiated' END
+    WHEN code = 0 THEN 'completed' WHEN code = 1 THEN 'cancelled' WHEN code = 10 THEN 'expired' ELSE 'failed' END AS status,
+  code AS result_code, descr AS result_desc, called_at AS completed_at
+FROM stk_requests r LEFT JOIN {LAST_CALL} ON r.checkout_request_id = l.checkout_request_id""")
 
 
 def _retry(d):
@@ -195,8 +214,10 @@ SELECT transaction_id AS message_id, 3::BIGINT AS max_retries, payment_key % 3 <
 
 def _lag(d):
     path = shared_dir(d.spark, "lag")
-    run = run_available(enriched(d), lambda df, n: write_batch(df, f"{path}/out", n), f"{path}/checkpoint")
-    return G.lag_report(d.spark, run.recentProgress).select("batch_id", "input_rows", "lag_alert")
+    with G.ProgressLog(d.spark) as log:
+        run = run_available(enriched(d), lambda df, n: write_batch(df, f"{path}/out", n), f"{path}/checkpoint")
+    return G.lag_report(d.spark, log.of(run.id)).groupBy("lag_alert").agg(
+        F.count("*").alias("batches"), F.sum("input_rows").alias("input_rows"))
 
 
-q("stream_lag", _lag, "SELECT 0::BIGINT AS batch_id, count(*) AS input_rows, false AS lag_alert FROM stream_events")
+q("stream_lag", _lag, f"SELECT false AS lag_alert, {BATCHES}::BIGINT AS batches, count(*) AS input_rows FROM stream_events")

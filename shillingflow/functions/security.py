@@ -9,12 +9,14 @@ from pyspark.sql import functions as F
 
 from .payments import col
 
-# Redaction patterns and their replacements, in the order they apply.
+# Redaction patterns and their replacements, in the order they apply. Digits, letters and
+# word ends are those of any script, so the classes are written out: the engine's short forms know ASCII only.
+WORD = r"\p{L}\p{N}_"
 REDACTIONS = [
-    (r"\b\d{10,12}\b", "[PHONE_REDACTED]"),
+    (rf"(?<![{WORD}])\p{{Nd}}{{10,12}}(?![{WORD}])", "[PHONE_REDACTED]"),
     (r"[A-Za-z0-9]{40,}", "[KEY_REDACTED]"),
-    (r'"amount":\s*[\d.]+', '"amount": [AMOUNT_REDACTED]'),
-    (r"[\w\.-]+@[\w\.-]+\.\w+", "[EMAIL_REDACTED]"),
+    (r'"amount":[\s\p{Z}]*[\p{Nd}.]+', '"amount": [AMOUNT_REDACTED]'),
+    (rf"[{WORD}.-]+@[{WORD}.-]+\.[{WORD}]+", "[EMAIL_REDACTED]"),
 ]
 
 

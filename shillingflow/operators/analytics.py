@@ -15,12 +15,9 @@ def since(payments: DataFrame, as_of: Column, days: int) -> DataFrame:
 
 # -- customers -----------------------------------------------------------------------------
 
-def customer_day_metrics(payments: DataFrame, as_of: Column, days: int = 90, top: int | None = 10000,
+def customer_day_metrics(payments: DataFrame, as_of: Column, days: int = 90, top: int | None = None,
                          per_customer: bool = False) -> DataFrame:
-    """Spending per phone and day (or per phone), the ``top`` by sum, with a value score.
-
-    The cut to the largest ``top`` rows is part of the analysis; ``None`` keeps all.
-    """
+    """Spending per phone and day (or per phone) with a value score; ``top`` lists only the largest by sum."""
     keys = ["phone_number"] if per_customer else ["phone_number", "last_transaction_date"]
     amount = F.col("amount")
     grouped = (
@@ -47,7 +44,7 @@ def customer_day_metrics(payments: DataFrame, as_of: Column, days: int = 90, top
         *keys, "transaction_count", "total_amount", "avg_amount", "max_amount", "min_amount",
         P.money_round("_std", 4).alias("std_amount"),
         (F.col("total_amount") / F.col("transaction_count")).alias("avg_transaction_value"),
-        (F.col("transaction_count") / F.lit(90.0).cast("double")).alias("transaction_frequency"),
+        (F.col("transaction_count") / F.lit(float(days)).cast("double")).alias("transaction_frequency"),
         P.money_round(F.col("_std") / (F.col("avg_amount") + 1), 4).alias("volatility"),
         P.money_round(score, 4).alias("customer_value_score"),
     )

@@ -11,7 +11,8 @@ from ..functions import validation as V
 from ..schemas import TOPIC_TRANSACTIONS
 
 # Failure reason per failing rule; rules not listed are validation errors.
-FORMAT_RULES = ["time_format", "unreadable_time", "amount_not_numeric"]
+FORMAT_RULES = ["time_format", "unreadable_time", "amount_not_numeric", "corrupt_message"]
+REASONS = {"unknown_region": "region_mapping_failed"}
 # Reasons that may pass on another attempt.
 TRANSIENT = ["database_error", "timeout", "unknown_error", "region_mapping_failed"]
 MAX_RETRIES = 3
@@ -34,19 +35,35 @@ def route(validated: DataFrame, message: str = "payload", topic: str = TOPIC_TRA
 
 
 def dead_letters(bad: DataFrame, message: str = "payload", topic: str = TOPIC_TRANSACTIONS) -> DataFrame:
-    reason = F.when(F.col("rule").isin(FORMAT_RULES), "invalid_format").otherwise("validation_error")
+    """Letters with every field of the record; a reason that may pass later makes them recoverable.
+
+    A letter is stamped with its row's arrival where that is known, so a replay writes the same letter."""
+    reason = F.when(F.col("rule").isin(FORMAT_RULES), "invalid_format")
+    for rule, told in REASONS.items():
+        reason = reason.when(F.col("rule") == rule, told)
+    reason = reason.otherwise("validation_error")
+    arrival = F.col("received_at").cast("timestamp") if "received_at" in bad.columns else F.lit(None).cast("timestamp")
     return bad.select(
         F.coalesce("transaction_id", F.sha2(F.col(message), 256)).alias("message_id"),
         F.lit(topic).alias("original_topic"),
         F.col(message).alias("original_message"),
         reason.alias("failure_reason"),
         F.concat(F.lit("rule failed: "), F.coalesce("rule", F.lit("unknown"))).alias("error_message"),
+        F.lit(None).cast("string").alias("error_stacktrace"),
+        F.coalesce(arrival, F.current_timestamp()).alias("timestamp"),
         F.lit(0).cast("bigint").alias("retry_count"),
         F.lit(MAX_RETRIES).cast("bigint").alias("max_retries"),
         reason.isin(TRANSIENT).alias("is_recoverable"),
     )
 
 
+def callback_letters(rejects: DataFrame, topic: str = TOPIC_TRANSACTIONS) -> DataFrame:
+    """Letters of callbacks that could not become rows (their amount can't be read)."""
+    text = F.to_json(F.struct(*rejects.columns))
+    return dead_letters(rejects.select(
+        F.col("TransID").alias("transaction_id"), text.alias("payload"), F.lit("amount_not_numeric").alias("rule")), topic=topic)
+
+
 def retry_plan(letters: DataFrame) -> DataFrame:
     """Next step of each dead letter: another attempt or an incident."""
     again = F.col("is_recoverable") & (F.col("retry_count") < F.col("max_retries"))

@@ -113,8 +113,8 @@ class Dataset:
 
     @property
     def fixed_clock(self) -> Column:
-        """A moment just after the newest row, for freshness measures."""
-        return F.lit("2001-08-02 00:00:00").cast("timestamp_ntz")
+        """Twelve hours after the newest arrival, for freshness measures."""
+        return self.raw_as_of + F.expr("INTERVAL 12 HOURS")
 
     @cached_property
     def raw_as_of(self) -> Column:

@@ -15,13 +15,14 @@ def json_callbacks(spark: SparkSession, path: str, multiline: bool = True) -> Da
 
 
 def parse_events(messages: DataFrame, schema: T.StructType = schemas.EVENT, value: str = "value") -> DataFrame:
-    """JSON messages to columns; an unreadable message keeps its text in ``_corrupt``."""
+    """JSON messages to columns, with their text as ``payload``; an unreadable one also has it in ``_corrupt``."""
     wide = T.StructType([*schema.fields, T.StructField("_corrupt", T.StringType())])
     parsed = F.from_json(
         F.col(value).cast("string"), wide, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}
     )
     extra = [c for c in ("offset", "partition", "timestamp") if c in messages.columns]
-    return messages.select(parsed.alias("_e"), *extra).select("_e.*", *extra)
+    text = F.col(value).cast("string").alias("payload")
+    return messages.select(parsed.alias("_e"), text, *extra).select("_e.*", "payload", *extra)
 
 
 def kafka_source(spark: SparkSession, brokers: str, topic: str, max_per_trigger: int = 1_000_000, **options) -> DataFrame:

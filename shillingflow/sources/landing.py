@@ -11,19 +11,32 @@ from pyspark.sql import functions as F
 from ..functions.payments import from_time, interval
 
 
+def _sortable(df: DataFrame, names: list[str]) -> list:
+    """Columns that can be compared; maps are compared by their text."""
+    return [F.to_json(c).alias(c) if df.schema[c].dataType.typeName() in ("map", "variant") else F.col(c) for c in names]
+
+
+def split_repeated(events: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
+    """Rows whose id occurs once (or is null), and the rows of repeated ids.
+
+    Ids are counted with fixed-width values only; the few that repeat are the hashed side of both
+    joins, so rows that have no copy are neither sorted nor aggregated.
+    """
+    repeated = events.filter(F.col(key).isNotNull()).groupBy(key).count().filter("count > 1").select(key).hint("shuffle_hash")
+    return events.join(repeated, key, "left_anti").select(*events.columns), events.join(repeated, key, "left_semi").select(*events.columns)
+
+
 def first_per_id(events: DataFrame, key: str = "transaction_id", order: str = "received_at") -> DataFrame:
-    """Earliest row per id; rows without an id are all kept.
+    """Earliest row per id; rows without an id are all kept. Ties go to the smallest remaining columns.
 
     An aggregate rather than a rank, so copies are dropped before the shuffle and a heavily
     repeated id never fills a task.
     """
     rest = [c for c in events.columns if c not in (key, order)]
-    first = (
-        events.filter(F.col(key).isNotNull()).groupBy(key)
-        .agg(F.min(F.struct(order, *rest)).alias("_first"))
-        .select(key, "_first.*")
-    )
-    return first.select(*events.columns).unionByName(events.filter(F.col(key).isNull()))
+    once, copies = split_repeated(events, key)
+    first = copies.groupBy(key).agg(
+        F.min_by(F.struct(order, *rest), F.struct(order, *_sortable(events, rest))).alias("_first")).select(key, "_first.*")
+    return once.unionByName(first.select(*events.columns))
 
 
 def insert_ignore(target: DataFrame, incoming: DataFrame, key: str = "transaction_id") -> DataFrame:
@@ -39,19 +52,14 @@ def confirm_upsert(events: DataFrame, key: str = "transaction_id", order: str =
     Pass the union of the stored table and the new events to merge into an existing table.
     """
     kept = [c for c in events.columns if c not in (key, order, replaced)]
-    with_id = events.filter(F.col(key).isNotNull()).groupBy(key).agg(
-        F.min(F.struct(order, *kept)).alias("_first"),
+    once, copies = split_repeated(events, key)
+    merged = copies.groupBy(key).agg(
+        F.min_by(F.struct(order, *kept), F.struct(order, *_sortable(events, kept))).alias("_first"),
         F.max(F.struct(order, replaced)).alias("_last"),
-        F.count("*").alias("_n"),
-    )
-    merged = with_id.select(
-        key, "_first.*", F.col(f"_last.{replaced}").alias(replaced),
-        F.when(F.col("_n") > 1, F.col(f"_last.{order}")).alias("updated_at"),
-    )
-    without = events.filter(F.col(key).isNull()).withColumn("updated_at", F.lit(None).cast("timestamp_ntz"))
-    return merged.select(*events.columns, "updated_at").unionByName(
-        without.select(*events.columns, F.col("updated_at"))
-    ).withColumn("status", F.lit("confirmed"))
+    ).select(key, "_first.*", F.col(f"_last.{replaced}").alias(replaced), F.col(f"_last.{order}").alias("updated_at"))
+    never = F.lit(None).cast(events.schema[order].dataType).alias("updated_at")
+    return once.select(*events.columns, never).unionByName(merged.select(*events.columns, "updated_at")).withColumn(
+        "status", F.lit("confirmed"))
 
 
 def append_plain(events: DataFrame, path: str) -> None:

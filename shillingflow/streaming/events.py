@@ -69,6 +69,14 @@ def aggregate_messages(windows: DataFrame, aggregation_type: str) -> DataFrame:
     return to_messages(windows.withColumn("aggregation_type", F.lit(aggregation_type)), "key")
 
 
+def newest_messages(messages: DataFrame, version: str = "batch") -> DataFrame:
+    """The last message of every window, key and aggregate: each update repeats the whole window."""
+    window = [F.get_json_object("value", f"$.{c}").alias(f"_{c}") for c in ("aggregation_type", "window_start", "window_end")]
+    last = messages.select("key", *window, "value", version).groupBy("key", "_aggregation_type", "_window_start", "_window_end").agg(
+        F.max_by("value", version).alias("value"))
+    return last.select("key", "value")
+
+
 def alerts(checked: DataFrame) -> DataFrame:
     """Anomalies and velocity hits; reads the stream after the velocity step."""
     hit = F.coalesce("anomaly_flag", F.lit(False)) | F.coalesce("velocity_flag", F.lit(False))

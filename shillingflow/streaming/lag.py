@@ -6,6 +6,7 @@ import json
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming.listener import StreamingQueryListener
 
 # Lag in rows and batch time in milliseconds that raise a flag.
 MAX_LAG = 10000
@@ -49,8 +50,39 @@ def progress_rows(progress: list) -> list[tuple]:
     return rows
 
 
+class ProgressLog(StreamingQueryListener):
+    """Keeps every report of the queries that run while it is open; a query itself keeps only its last hundred."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.reports, self.ended = spark, {}, set()
+
+    def __enter__(self) -> "ProgressLog":
+        self.spark.streams.addListener(self)
+        return self
+
+    def __exit__(self, *_) -> None:
+        # reports arrive in order but later than the query ends
+        self.spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(60_000)
+        self.spark.streams.removeListener(self)
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        self.reports.setdefault(str(event.progress.id), []).append(json.loads(event.progress.json))
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        self.ended.add(str(event.id))
+
+    def of(self, query_id) -> list[dict]:
+        return [r for r in self.reports.get(str(query_id), []) if any(s.get("numInputRows") for s in r.get("sources", []))]
+
+
 def lag_report(spark: SparkSession, progress: list) -> DataFrame:
-    """One row per batch and source; a query keeps only its last hundred reports."""
+    """One row per batch and source of the given reports."""
     return spark.createDataFrame(progress_rows(progress), SCHEMA).withColumns({
         "lag_alert": F.coalesce(F.col("lag") > MAX_LAG, F.lit(False)),
         "slow_batch": F.col("batch_ms") > MAX_BATCH_MS,

@@ -2,31 +2,43 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import validation as V
-from ..functions.payments import txn_time
+from ..functions.payments import PREFIX_REGIONS, phone_prefix, standardize_phone, txn_time
 from ..operators import ingest, quality, stk
 from ..sources.landing import insert_ignore
-from .runner import WATERMARK, run_available, with_batch, write_batch
+from .runner import run_available, with_batch, write_batch
 
 
 def _stored(spark, path: str, before_batch: int, schema, horizon_days: int | None, oldest) -> DataFrame:
     """Rows landed by earlier batches; a replayed batch does not see its own output."""
-    try:
-        table = spark.read.schema(with_batch(schema)).parquet(path)
-    except Exception as missing:  # the first batch finds no folder
-        if "PATH_NOT_FOUND" not in str(missing):
-            raise
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if not place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place):  # the first batch
         return spark.createDataFrame([], schema)
+    table = spark.read.schema(with_batch(schema)).parquet(path)
     kept = table.filter(F.col("batch") < before_batch)
     if horizon_days is not None:
         kept = kept.filter(F.col("received_at") >= oldest - F.expr(f"INTERVAL {int(horizon_days)} DAYS"))
     return kept.drop("batch")
 
 
-def land(events: DataFrame, path: str, horizon_days: int | None = None):
+def with_rule(events: DataFrame, regions: bool = False) -> DataFrame:
+    """The first rule that a row fails and whether it may land. With ``regions`` a number of no known
+    region waits as a recoverable letter: the list of prefixes may learn it."""
+    rule: Column = V.landing_rule()
+    if "_corrupt" in events.columns:
+        rule = F.when(F.col("_corrupt").isNotNull(), "corrupt_message").otherwise(rule)
+    checked = ingest.legacy_coerce(events).withColumn("rule", rule)
+    if regions:
+        known = checked.withColumn("_local", standardize_phone("phone_number"))
+        mapped = F.coalesce(phone_prefix("_local").isin(list(PREFIX_REGIONS)), F.lit(False))
+        checked = known.withColumn("rule", F.when((F.col("rule") == "ok") & ~mapped, "unknown_region").otherwise(F.col("rule"))).drop("_local")
+    return checked.withColumn("is_valid", F.col("rule") == "ok")
+
+
+def land(events: DataFrame, path: str, horizon_days: int | None = None, regions: bool = False):
     """Batch function: validate, drop copies, append new ids, send the rest to dead letters.
 
     Every id is checked against all landed ids unless ``horizon_days`` limits how far back a copy
@@ -35,12 +47,11 @@ def land(events: DataFrame, path: str, horizon_days: int | None = None):
 
     def sink(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        checked = ingest.legacy_coerce(batch).withColumn("rule", V.landing_rule())
-        checked = checked.withColumn("is_valid", F.col("rule") == "ok")
+        checked = with_rule(batch, regions)
         checked.persist()  # read twice; lost blocks are recomputed from the source
         try:
             valid, letters = quality.route(checked)
-            rows = valid.drop("rule", "is_valid").withColumn("transaction_time", txn_time("transaction_time"))
+            rows = valid.drop("rule", "is_valid", "_corrupt").withColumn("transaction_time", txn_time("transaction_time"))
             oldest = rows.agg(F.min("received_at")).scalar() if horizon_days is not None else None
             stored = _stored(spark, f"{path}/raw", batch_id, rows.schema, horizon_days, oldest)
             write_batch(insert_ignore(stored, rows), f"{path}/raw", batch_id)
@@ -51,8 +62,8 @@ def land(events: DataFrame, path: str, horizon_days: int | None = None):
     return sink
 
 
-def run_landing(events: DataFrame, path: str, horizon_days: int | None = None):
-    return run_available(events, land(events, path, horizon_days), f"{path}/checkpoint")
+def run_landing(events: DataFrame, path: str, horizon_days: int | None = None, regions: bool = False):
+    return run_available(events, land(events, path, horizon_days, regions), f"{path}/checkpoint")
 
 
 def retry(letters: DataFrame, path: str):
@@ -66,23 +77,27 @@ def retry(letters: DataFrame, path: str):
     return run_available(letters, sink, f"{path}/checkpoint")
 
 
-def match_stk(requests: DataFrame, callbacks: DataFrame, timeout: str = "2 minutes",
-              watermark: str = WATERMARK) -> DataFrame:
-    """Requests joined to their callbacks as both stream in; none within ``timeout`` means expired.
+def match_stk(requests: DataFrame, callbacks: DataFrame) -> DataFrame:
+    """One row per request with its last callback, updated as either arrives, in any order and however late.
 
-    ``requests`` carries ``initiated_at``, ``callbacks`` are flattened and carry ``received_at``.
+    Run it in update mode. ``requests`` carries ``initiated_at``, ``callbacks`` are flattened and carry
+    ``received_at``. Copies of a request or a callback change nothing; a stray callback waits for its request.
     """
-    left = requests.withWatermark("initiated_at", watermark).alias("r")
-    right = callbacks.filter(F.col("checkout_request_id").isNotNull()).withWatermark("received_at", watermark).select(
-        F.col("checkout_request_id").alias("called_id"), "result_code", "result_desc", "received_at"
-    ).alias("c")
-    on = (
-        (F.col("r.checkout_request_id") == F.col("c.called_id"))
-        & (F.col("c.received_at") >= F.col("r.initiated_at"))
-        & (F.col("c.received_at") <= F.col("r.initiated_at") + F.expr(f"INTERVAL {timeout}"))
-    )
-    return left.join(right, on, "left_outer").select(
-        "checkout_request_id", "phone_number", "amount", "account_reference", "initiated_at",
-        F.when(F.col("called_id").isNull(), "expired").otherwise(stk.stk_status(F.col("result_code"))).alias("status"),
-        "result_code", "result_desc", F.col("received_at").alias("completed_at"),
+    asked = ["initiated_at", "phone_number", "amount", "account_reference"]
+    told = ["received_at", "result_code", "result_desc"]
+    call = callbacks.filter(F.col("checkout_request_id").isNotNull()).select("checkout_request_id", F.struct(*told).alias("call"))
+    ask = requests.select("checkout_request_id", F.struct(*asked).alias("ask"))
+    both = ask.withColumn("call", F.lit(None).cast(call.schema["call"].dataType)).unionByName(
+        call.withColumn("ask", F.lit(None).cast(ask.schema["ask"].dataType)))
+    last = both.groupBy("checkout_request_id").agg(F.min("ask").alias("ask"), F.max("call").alias("call")).filter("ask is not null")
+    return last.select(
+        "checkout_request_id", *[F.col(f"ask.{c}") for c in asked[1:]], "ask.initiated_at",
+        F.when(F.col("call").isNull(), "initiated").otherwise(stk.stk_status(F.col("call.result_code"))).alias("status"),
+        "call.result_code", "call.result_desc", F.col("call.received_at").alias("completed_at"),
     )
+
+
+def expire(matched: DataFrame, as_of: Column, timeout: str = "2 minutes") -> DataFrame:
+    """Requests that have waited longer than ``timeout`` read as expired, until a callback says otherwise."""
+    late = (F.col("status") == "initiated") & (F.col("initiated_at") < as_of - F.expr(f"INTERVAL {timeout}"))
+    return matched.withColumn("status", F.when(late, "expired").otherwise(F.col("status")))

@@ -11,7 +11,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor
@@ -97,21 +97,29 @@ def velocity(events: DataFrame, key: str, ts: str, seconds: int = 60, threshold:
 
 
 def velocity_batches(events: DataFrame, path: str, key: str, ts: str, row_id: str, seconds: int = 60,
-                     threshold: int = 5, lateness: int = 600, hot_rows: int = HOT_ROWS):
+                     threshold: int = 5, lateness: int = 600, hot_rows: int = HOT_ROWS, arrived: Column | None = None,
+                     ahead: int = 3600):
     """Bounded run that writes flagged events to ``path/out``.
 
     Every batch writes the counts later batches may still need, under its own number; a replay
-    reads the counts of the batch before it and overwrites its own.
+    reads the counts of the batch before it and overwrites its own. What later batches need is
+    measured from the middle of a batch, so a few wrong stamps don't make it forget; rows stamped
+    more than ``ahead`` seconds after they ``arrived`` (by default now) go to ``path/future``.
     """
 
     def sink(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
+        limit = (F.current_timestamp() if arrived is None else arrived) + F.expr(f"INTERVAL {int(ahead)} SECONDS")
+        future = F.coalesce(F.col(ts) > limit, F.lit(False))
+        write_batch(batch.filter(future), f"{path}/future", batch_id)
+        batch = batch.filter(~future)
         counts = batch.groupBy(key, ts).agg(F.count("*").alias("rows_at"))
         if batch_id > 0:
             earlier = spark.read.schema(counts.schema).parquet(batch_path(f"{path}/counts", batch_id - 1))
             counts = counts.unionByName(earlier).groupBy(key, ts).agg(F.sum("rows_at").alias("rows_at"))
-        newest = counts.agg(F.max(ts)).scalar()
-        keep = F.col(ts) > newest - F.expr(f"INTERVAL {int(seconds + lateness)} SECONDS")
+        micros = batch.agg(F.percentile_approx(F.unix_micros(ts), 0.5)).first()[0]
+        middle = F.timestamp_micros(F.lit(micros)) if micros is not None else F.lit(None).cast("timestamp")
+        keep = F.coalesce(F.col(ts) > middle - F.expr(f"INTERVAL {int(seconds + lateness)} SECONDS"), F.lit(True))
         write_batch(counts.filter(keep), f"{path}/counts", batch_id)
         recent = trailing_sums(counts, [key], ts, seconds, "recent_transaction_count")
         flagged = profile_join(batch, recent, [key, ts], "rows_at", row_id, hot_rows).drop("rows_at").withColumn(

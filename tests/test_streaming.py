@@ -7,11 +7,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from shillingflow.functions import payments as P
-from shillingflow.operators import risk
+from shillingflow.operators import ingest, quality, risk
+from shillingflow.schemas import DEAD_LETTER
 from shillingflow.sources import files
 from shillingflow.streaming import events as E
 from shillingflow.streaming import lag, landing
-from shillingflow.streaming.runner import run_available, write_batch
+from shillingflow.streaming.runner import latest, run_available, write_batch
 from shillingflow.streaming.velocity import velocity, velocity_batches
 
 START = dt.datetime(2024, 1, 1)
@@ -120,7 +121,7 @@ def test_landing_keeps_first_and_survives_replay(spark, tmp_path):
     assert spark.read.parquet(f"{path}/raw").count() == len(rows)
 
 
-def test_unanswered_request_expires(spark, tmp_path):
+def test_requests_follow_their_last_callback(spark, tmp_path):
     schema = "checkout_request_id string, phone_number string, amount double, account_reference string, initiated_at timestamp"
     calls = "checkout_request_id string, result_code bigint, result_desc string, received_at timestamp"
 
@@ -134,15 +135,70 @@ def test_unanswered_request_expires(spark, tmp_path):
         return spark.readStream.schema(layout).option("maxFilesPerTrigger", 1).option(
             "recursiveFileLookup", "true").json(f"{tmp_path}/{kind}")
 
-    add("req", 1, [("a", "p", 1.0, "r", at(0)), ("b", "p", 1.0, "r", at(0)), ("c", "p", 1.0, "r", at(0))], schema)
-    add("call", 1, [("a", 0, "ok", at(30)), ("c", 0, "too late", at(400))], calls)
-    add("req", 2, [("z", "p", 1.0, "r", at(9000))], schema)
-    add("call", 2, [("z", 1, "no", at(9010))], calls)
-    add("req", 3, [("zz", "p", 1.0, "r", at(20000))], schema)
-    add("call", 3, [(None, 1, "no", at(20000))], calls)
-    rows = collect(spark, landing.match_stk(read("req", schema), read("call", calls)), tmp_path)
-    got = {r.checkout_request_id: r.status for r in rows}
-    assert got["a"] == "completed" and got["b"] == "expired" and got["c"] == "expired" and got["z"] == "cancelled"
+    add("req", 1, [(x, "p", 1.0, "r", at(0)) for x in "abc"], schema)
+    add("call", 1, [("a", 1, "first no", at(30)), ("early", 0, "ok", at(-5))], calls)
+    add("req", 2, [("z", "p", 1.0, "r", at(9000)), ("early", "p", 1.0, "r", at(1))], schema)
+    add("call", 2, [("a", 0, "then yes", at(60)), ("c", 0, "very late", at(4000))], calls)
+    add("req", 3, [("new", "p", 1.0, "r", at(20000))], schema)
+    add("call", 3, [(None, 1, "no", at(20000)), ("stray", 1, "no", at(1))], calls)
+    collect(spark, landing.match_stk(read("req", schema), read("call", calls)), tmp_path, "update")
+    state = latest(spark.read.parquet(f"{tmp_path}/out"), ["checkout_request_id"])
+    rows = landing.expire(state, F.lit(at(20010))).collect()
+    assert {r.checkout_request_id: r.status for r in rows} == {
+        "a": "completed", "b": "expired", "c": "completed", "z": "expired", "early": "completed", "new": "initiated"}
+
+
+def test_topic_schema_lands(spark, tmp_path):
+    """JSON messages as the topic carries them, over three micro-batches: every one is a row or a letter."""
+    def message(i, **other):
+        event = {"event_type": "c2b_confirmation", "received_at": f"2024-01-01T00:00:{i:02d}Z", "source": "s", "transaction_id": f"T{i}",
+                 "phone_number": "254712345678", "amount": "5", "account_reference": "a", "transaction_time": "20240101000000", "data": {"k": str(i)}}
+        return json.dumps(event | other)
+
+    sent = [[message(1), message(1, data={"k": "copy"}), "{broken", message(2, transaction_time="soon")],
+            [message(1), message(3, phone_number="254009999999"), message(4, data=None)], [message(5, event_type="refund"), message(4)]]
+    for n, values in enumerate(sent):
+        spark.createDataFrame([(v,) for v in values], "value string").coalesce(1).write.parquet(f"{tmp_path}/in/{n}")
+    stream_ = spark.readStream.schema("value string").option("maxFilesPerTrigger", 1).option("recursiveFileLookup", "true").parquet(f"{tmp_path}/in")
+    path = str(tmp_path / "table")
+    landing.run_landing(files.parse_events(stream_), path, regions=True)
+    rows = {r.transaction_id: r for r in spark.read.parquet(f"{path}/raw").collect()}
+    assert set(rows) == {"T1", "T4"} and rows["T1"].data in ({"k": "1"}, {"k": "copy"}) and rows["T4"].data is None
+    letters = spark.read.parquet(f"{path}/dead_letters")
+    assert {c for c in letters.columns if c != "batch"} == set(DEAD_LETTER.fieldNames())
+    told = sorted((r.failure_reason, r.is_recoverable, r.original_message) for r in letters.collect())
+    assert [(a, b) for a, b, _ in told] == [("invalid_format", False)] * 2 + [("region_mapping_failed", True), ("validation_error", False)]
+    assert any(m == "{broken" for *_, m in told)
+    again = spark.readStream.schema(letters.drop("batch").schema).option("recursiveFileLookup", "true").parquet(f"{path}/dead_letters")
+    landing.retry(again, str(tmp_path / "retry"))
+    assert [r.message_id for r in spark.read.parquet(f"{tmp_path}/retry/retry").collect()] == ["T3"]
+
+
+def test_unreadable_callbacks_become_letters(spark):
+    rows, rejects = ingest.parse_c2b(spark.createDataFrame(
+        [("1", "ten", "254712345678"), ("2", "10", "254712345678")], "TransID string, TransAmount string, MSISDN string").selectExpr(
+        "*", *[f"CAST(null AS string) AS {c}" for c in ("BusinessShortCode", "TransTime", "BillRefNumber", "AccountReference")]))
+    letters = quality.callback_letters(rejects).collect()
+    assert rows.count() == 1 and [(r.message_id, r.failure_reason) for r in letters] == [("1", "invalid_format")]
+
+
+def test_a_wrong_stamp_does_not_switch_velocity_off(spark, tmp_path):
+    far = int((dt.datetime(2099, 1, 1) - START).total_seconds())
+    put(spark, tmp_path / "in", "a", [(str(i), "0712", 1.0, i) for i in range(5)] + [("far", "0799", 1.0, far)])
+    put(spark, tmp_path / "in", "b", [("6", "0712", 1.0, 10)])
+    path = str(tmp_path / "v")
+    velocity_batches(stream(spark, tmp_path / "in"), path, "MSISDN", "event_time", "TransID", 60, 5)
+    got = {r.TransID: (r.recent_transaction_count, r.velocity_flag) for r in spark.read.parquet(f"{path}/out").collect()}
+    assert got["6"] == (6, True) and [r.TransID for r in spark.read.parquet(f"{path}/future").collect()] == ["far"]
+
+
+def test_aggregate_messages_count_once(spark, tmp_path):
+    put(spark, tmp_path / "in", "a", [("1", "0712", 5.0, 0)])
+    put(spark, tmp_path / "in", "b", [("2", "0712", 5.0, 60)])
+    frame = E.aggregate_messages(E.hourly(E.enrich(stream(spark, tmp_path / "in"))), "hourly")
+    collect(spark, frame, tmp_path, "update")
+    rows = E.newest_messages(spark.read.parquet(f"{tmp_path}/out")).collect()
+    assert [json.loads(r.value)["transaction_count"] for r in rows] == [2]
 
 
 def test_lag_rows():
