@@ -174,8 +174,8 @@ TABLES: dict[str, str] = {
         SELECT coalesce(transaction_id, sha256(payload)) AS message_id, 'transactions' AS original_topic,
           payload AS original_message,
           CASE WHEN rule IN ('time_format', 'amount_not_numeric') THEN 'invalid_format' ELSE 'validation_error' END AS failure_reason,
-          'rule failed: ' || rule AS error_message, 0::BIGINT AS retry_count, 3::BIGINT AS max_retries,
-          false AS is_recoverable
+          'rule failed: ' || rule AS error_message, CAST(NULL AS VARCHAR) AS error_stacktrace, received_at AS "timestamp",
+          0::BIGINT AS retry_count, 3::BIGINT AS max_retries, false AS is_recoverable
         FROM validated WHERE rule <> 'ok'""",
     "legacy_events": """
         SELECT CASE WHEN payment_key % 4 = 0 THEN 'c2b_transaction' WHEN payment_key % 37 = 1 THEN 'refund'

@@ -155,7 +155,7 @@ def _routed(d):
     return quality.route(quality.validate_transactions(d.validator_records))
 
 
-q("dlq_route", lambda d: _routed(d)[1], "SELECT * FROM letters")
+q("dlq_route", lambda d: _routed(d)[1].withColumn("timestamp", P.ntz("timestamp")), "SELECT * FROM letters")
 q("dlq_valid_rows", lambda d: _routed(d)[0].select("transaction_id", "received_at", "amount"),
   "SELECT transaction_id, received_at, amount FROM validated WHERE rule = 'ok'")
 

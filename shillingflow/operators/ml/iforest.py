@@ -108,7 +108,8 @@ def _mean_path(rows: np.ndarray, arrays: dict[str, np.ndarray], depth: int) -> n
 def draw_samples(features: DataFrame, row_id: str, trees: int, sample: int, seed: int) -> DataFrame:
     """``sample`` rows per tree out of a pool of ``trees * sample`` hashed rows.
 
-    Sampling is how the method works; the pool has a fixed size whatever the input.
+    Sampling is how the method works; both sizes are its parameters, whatever the input. The pool is
+    numbered once and a tree takes its slice, which wraps around where there are fewer rows.
     """
     wanted, slots = trees * sample, 1 << 30
     share = min(1.0, 4 * wanted / max(features.count(), 1))  # four times enough, so the sort stays small
@@ -117,9 +118,10 @@ def draw_samples(features: DataFrame, row_id: str, trees: int, sample: int, seed
         .filter(F.pmod("_order", F.lit(slots)) < int(np.ceil(share * slots)))
         .orderBy("_order", row_id).limit(wanted)
     )
-    per_tree = pool.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))))
-    pick = Window.partitionBy("tree").orderBy(F.xxhash64("_order", "tree"), row_id)
-    return per_tree.withColumn("_rank", F.row_number().over(pick)).filter(F.col("_rank") <= sample).drop("_rank", "_order")
+    whole = Window.partitionBy()
+    numbered = pool.withColumn("_at", F.row_number().over(Window.orderBy("_order", row_id)) - 1).withColumn("_n", F.count("*").over(whole))
+    slices = F.filter(F.sequence(F.lit(0), F.lit(trees - 1)), lambda t: F.pmod(F.col("_at") - t * sample, F.col("_n")) < sample)
+    return numbered.withColumn("tree", F.explode(slices)).drop("_order", "_at", "_n")
 
 
 def fit(features: DataFrame, row_id: str = "transaction_id", trees: int = TREES, sample: int = SAMPLE,

@@ -5,6 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.ml.classification import GBTClassificationModel, RandomForestClassificationModel
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -84,19 +85,22 @@ def load(spark: SparkSession, path: str) -> FraudModels:
 
 
 def predict(models: FraudModels, features: DataFrame) -> DataFrame:
-    """Votes of the present models per row, with scores and probabilities."""
-    rows = models.forest.predict(features).withColumn(
-        "isolation_forest_pred", (F.col("fraud_prediction") == -1).cast("bigint")
-    )
+    """Votes of the present models per row, with each model's score or probability and its confidence."""
+    rows = models.forest.predict(features).withColumns({
+        "isolation_forest_pred": (F.col("fraud_prediction") == -1).cast("bigint"),
+        "isolation_forest_score": F.col("fraud_score"), "isolation_forest_confidence": F.abs("fraud_score"),
+    })
     for name in ("random_forest", "gradient_boosting"):
         trained = getattr(models, name)
         if trained is None:
-            rows = rows.withColumn(f"{name}_pred", F.lit(None).cast("bigint"))
+            rows = rows.withColumn(f"{name}_pred", F.lit(None).cast("bigint")).withColumns(
+                {f"{name}_{c}": F.lit(None).cast("double") for c in ("probability", "confidence")})
             continue
         scored = trained.model.transform(supervised.assemble(rows))
-        rows = scored.withColumn(f"{name}_pred", F.col("prediction").cast("bigint")).drop(
-            "prediction", "rawPrediction", "probability", "features"
-        )
+        chance = vector_to_array("probability")[1]
+        rows = scored.withColumns({
+            f"{name}_pred": F.col("prediction").cast("bigint"), f"{name}_probability": chance, f"{name}_confidence": chance,
+        }).drop("prediction", "rawPrediction", "probability", "features")
     return ensemble_vote(rows)
 
 
