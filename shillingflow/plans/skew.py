@@ -7,7 +7,7 @@ which is the size bound behind every ``broadcast`` here.
 from __future__ import annotations
 
 from functools import reduce
-from operator import add
+from operator import add, and_, or_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -35,6 +35,8 @@ def profile_join(rows: DataFrame, profile: DataFrame, keys: list[str], size: str
     salted = rows.join(F.broadcast(hot), keys, "left").withColumn(
         "_salt",
         F.when(F.col(f"_hot_{size}").isNotNull(), F.pmod(F.xxhash64(spread), F.lit(SALTS)) + 1)
+        # a null key finds no profile by equality, so its rows may go anywhere
+        .when(reduce(or_, [F.col(k).isNull() for k in keys]), F.pmod(F.xxhash64(spread), F.lit(SALTS)) + 1)
         .otherwise(0),
     )
     joined = salted.join(cold, keys + ["_salt"], "left")
@@ -43,6 +45,11 @@ def profile_join(rows: DataFrame, profile: DataFrame, keys: list[str], size: str
     )
 
 
+def same_keys(left: DataFrame, right: DataFrame, keys: list[str]) -> Column:
+    """Null-safe equality: null is a key like any other, and often a crowded one."""
+    return reduce(and_, [left[k].eqNullSafe(right[k]) for k in keys])
+
+
 def ordered_sequence(df: DataFrame, keys: list[str], order: list[Column], levels: list[Column],
                      out: str, hot_rows: int = HOT_ROWS) -> DataFrame:
     """``row_number`` per key without putting a crowded key into one task.
@@ -51,35 +58,42 @@ def ordered_sequence(df: DataFrame, keys: list[str], order: list[Column], levels
     sorted by ``levels``. A group still above ``hot_rows`` is split by the next level; the
     number of a row is its number inside the piece plus the counts of the earlier pieces.
 
-    One small job checks for crowded keys first; without any, a single window is enough.
+    One lazy plan serves both cases: keys are counted, the rows of uncrowded ones get a plain window, and
+    the part for crowded keys reads nothing when there are none. Crowded rows are read twice, once for
+    their counts by all levels and once to be numbered.
     """
+    crowded_keys = F.broadcast(df.groupBy(*keys).count().filter(F.col("count") > hot_rows).select(*keys))
     number = F.row_number().over(Window.partitionBy(*keys).orderBy(*order)).cast("bigint")
-    if df.groupBy(*keys).count().filter(F.col("count") > hot_rows).isEmpty():
-        return df.withColumn(out, number)
-    level_names = [f"_piece{i}" for i in range(len(levels))]
+    plain = df.join(crowded_keys, same_keys(df, crowded_keys, keys), "left_anti").withColumn(out, number)
+    hot = df.join(crowded_keys, same_keys(df, crowded_keys, keys), "left_semi")
+    return plain.unionByName(_pieced_sequence(hot, keys, order, levels, out, hot_rows))
 
-    def crowded(frame: DataFrame, part: list[str]) -> DataFrame:
-        return (
-            frame.groupBy(*part).count().filter(F.col("count") > hot_rows)
-            .select(*part, F.lit(True).alias("_crowded"))
-        )
 
-    def assign(frame: DataFrame, big: DataFrame, part: list[str], i: int, how: str) -> DataFrame:
-        piece = F.when(F.col("_crowded"), F.coalesce(levels[i], F.lit(-2))).otherwise(-1)
-        return (
-            frame.join(F.broadcast(big), part, how)
-            .withColumn(level_names[i], piece.cast("bigint")).drop("_crowded")
-        )
+def _pieced_sequence(df: DataFrame, keys: list[str], order: list[Column], levels: list[Column], out: str, hot_rows: int) -> DataFrame:
+    level_names = [f"_piece{i}" for i in range(len(levels))]
+    fine_names = [f"_fine{i}" for i in range(len(levels))]
+    fine = df.withColumns({n: F.coalesce(c, F.lit(-2)).cast("bigint") for n, c in zip(fine_names, levels)})
+    counts = fine.groupBy(*keys, *fine_names).agg(F.count("*").alias("_n"))
+
+    def split(frame: DataFrame, big: DataFrame | None, i: int) -> DataFrame:
+        """The next level's number where the group so far is crowded, else one piece."""
+        if big is None:
+            return frame.withColumn(level_names[i], F.col(fine_names[i]))
+        part = keys + level_names[:i]
+        marked = frame.join(big, same_keys(frame, big, part), "left").select(frame["*"], "_crowded")
+        return marked.withColumn(level_names[i], F.when(F.col("_crowded"), F.col(fine_names[i])).otherwise(-1)).drop("_crowded")
 
-    pieces, split = df, df
+    pieces = fine
     for i in range(len(levels)):
-        part = keys + level_names[:i]
-        big = crowded(split, part)
-        pieces = assign(pieces, big, part, i, "left")
-        split = assign(split, big, part, i, "inner" if i == 0 else "left")
+        big = None  # every key here is crowded
+        if i:
+            part = keys + level_names[:i]
+            groups = counts.groupBy(*part).agg(F.sum("_n").alias("_size")).filter(F.col("_size") > hot_rows)
+            big = F.broadcast(groups.select(*part, F.lit(True).alias("_crowded")))
+        pieces, counts = split(pieces, big, i), split(counts, big, i)
 
     full = keys + level_names
-    sizes = split.groupBy(*full).agg(F.count("*").alias("_n"))
+    sizes = counts.groupBy(*full).agg(F.sum("_n").alias("_n"))
     offsets = sizes
     for i in range(len(levels)):
         part, upto = keys + level_names[:i], keys + level_names[: i + 1]
@@ -87,13 +101,13 @@ def ordered_sequence(df: DataFrame, keys: list[str], order: list[Column], levels
         level = sizes.groupBy(*upto).agg(F.sum("_n").alias("_level_n")).select(
             *upto, F.coalesce(F.sum("_level_n").over(earlier), F.lit(0)).alias(f"_before{i}")
         )
-        offsets = offsets.join(level, upto)
+        offsets = offsets.join(level, same_keys(offsets, level, upto)).select(offsets["*"], f"_before{i}")
     before = reduce(add, [F.col(f"_before{i}") for i in range(len(levels))])
     offsets = offsets.select(*full, before.alias("_before"))
 
     numbered = pieces.withColumn("_in_piece", F.row_number().over(Window.partitionBy(*full).orderBy(*order)))
-    return numbered.join(offsets, full, "left").select(
-        *df.columns,
+    return numbered.join(offsets, same_keys(numbered, offsets, full), "left").select(
+        *[numbered[c] for c in df.columns],
         (F.col("_in_piece") + F.coalesce("_before", F.lit(0))).cast("bigint").alias(out),
     )
 

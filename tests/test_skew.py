@@ -31,6 +31,23 @@ def test_sequence_splits_crowded_customer(spark):
         assert split.exceptAll(plain.select(split.columns)).isEmpty()
 
 
+def test_sequence_splits_a_crowded_null_key(spark):
+    tx = skewed_tx(spark).withColumn("customer_phone_number", F.expr("nullif(customer_phone_number, 'hot')"))
+    plain = staging.with_sequence(tx)
+    split = staging.with_sequence(tx, hot_rows=50)
+    assert split.count() == tx.count() and split.exceptAll(plain.select(split.columns)).isEmpty()
+    # no window task holds the null key: its rows are numbered in pieces
+    plan = split._jdf.queryExecution().toString()
+    assert "_piece0" in plan
+
+
+def test_null_keys_are_spread_and_find_no_profile(spark):
+    tx = skewed_tx(spark).withColumn("customer_phone_number", F.expr("nullif(customer_phone_number, 'hot')"))
+    profile = tx.groupBy("customer_phone_number").agg(F.count("*").alias("n"))
+    got = profile_join(tx, profile, ["customer_phone_number"], "n", "transaction_id", hot_rows=60)
+    assert got.filter("customer_phone_number is null and n is not null").isEmpty() and got.count() == tx.count()
+
+
 def test_profile_join_matches_plain_join(spark):
     tx = skewed_tx(spark)
     profile = tx.groupBy("customer_phone_number").agg(F.count("*").alias("n"), F.sum("amount").alias("total"))
