@@ -30,10 +30,10 @@ panel("exec_customers_today", lambda d: D.customers_today(d.tx, d.as_of),
       f"SELECT count(DISTINCT customer_phone_number) AS value FROM {TODAY}")
 panel("exec_avg_ticket", lambda d: D.avg_ticket_today(d.tx, d.as_of),
       f"SELECT coalesce(CAST(sum(transaction_amount) AS DOUBLE) / count(*), 0) AS value FROM {TODAY}")
-panel("exec_value_by_hour", lambda d: D.value_by_hour(d.hourly, d.tx, d.as_of),
+panel("exec_value_by_hour", lambda d: D.value_by_hour(None, d.tx, d.as_of),
       f"""SELECT hour_bucket AS time, total_amount AS value_kes, transaction_count AS transactions FROM hourly
       WHERE hour_bucket BETWEEN {NOW} - INTERVAL 7 DAY AND {NOW}""")
-panel("hourly_mart_join_detail", lambda d: D.value_by_hour(d.hourly, d.tx, d.as_of, ACCOUNTS, days=90),
+panel("hourly_mart_join_detail", lambda d: D.value_by_hour(None, d.tx, d.as_of, ACCOUNTS, days=90),
       f"""SELECT hour_bucket AS time, total_amount AS value_kes, transaction_count AS transactions FROM hourly
       WHERE hour_bucket BETWEEN {NOW} - INTERVAL 90 DAY AND {NOW} AND hour_bucket IN
         (SELECT date_trunc('hour', transaction_timestamp) FROM tx WHERE {IN_ACCOUNTS})""")

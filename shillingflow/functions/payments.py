@@ -217,5 +217,13 @@ def from_time(df: DataFrame, lower: Column, time: str = "transaction_time") -> D
     return df.filter((day_of(df, time) >= F.to_date(lower)) & (F.col(time) >= lower))
 
 
+def arrived_from(df: DataFrame, lower: Column, upper: Column | None = None, time: str = "received_at") -> DataFrame:
+    """Rows that arrived at or after ``lower`` (and up to ``upper``), by arrival date first where it is stored."""
+    if "received_date" in df.columns:
+        df = df.filter(F.col("received_date") >= F.to_date(lower))
+        df = df if upper is None else df.filter(F.col("received_date") <= F.to_date(upper))
+    return df.filter(F.col(time) >= lower if upper is None else F.col(time).between(lower, upper))
+
+
 def interval(n: int, unit: str) -> Column:
     return F.expr(f"INTERVAL {int(n)} {unit}")

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions import payments as P
 from ..plans.skew import HOT_ROWS, exact_quantiles, profile_join
-from . import staging
+from . import marts, staging
 
 AMOUNT = "transaction_amount"
 TIME = "transaction_timestamp"
@@ -33,7 +33,7 @@ def recent_days(df: DataFrame, as_of: Column, days: int, accounts: list[str] | N
 
 
 def received_within(raw: DataFrame, as_of: Column, n: int, unit: str) -> DataFrame:
-    return raw.filter(F.col("received_at").between(as_of - P.interval(n, unit), as_of))
+    return P.arrived_from(raw, as_of - P.interval(n, unit), as_of)
 
 
 def today(tx: DataFrame, as_of: Column, accounts: list[str] | None = None) -> DataFrame:
@@ -62,12 +62,21 @@ def avg_ticket_today(tx, as_of, accounts=None):
     return today(tx, as_of, accounts).agg(F.coalesce(P.exact_mean(AMOUNT), F.lit(0.0)).alias("value"))
 
 
+def _days(tx, lower, upper):
+    """The payments of whole days, so that hours inside are complete and other days are not read."""
+    return tx.filter(F.col("transaction_date").between(F.to_date(lower), F.to_date(upper)))
+
+
 def value_by_hour(hourly, tx, as_of, accounts=None, days=7):
-    """Mart totals for hours that have a matching payment, each hour once."""
+    """Mart totals for hours that have a matching payment, each hour once.
+
+    Without a stored mart (``hourly`` is ``None``) the hours are computed from the days in question."""
     lower = as_of - P.interval(days, "DAYS")
+    if hourly is None:
+        hourly = marts.hourly_volumes(_days(tx, lower, as_of + P.interval(1, "HOURS")))
     hours = hourly.filter(F.col("hour_bucket").between(lower, as_of))
     if accounts is not None:
-        matching = tx.filter(
+        matching = _days(tx, lower, as_of + P.interval(1, "HOURS")).filter(
             F.col(TIME).between(lower, as_of + P.interval(1, "HOURS")) & P.account_filter(accounts)
         ).select(P.trunc_ts("hour", TIME).alias("hour_bucket")).distinct()
         hours = hours.join(matching, "hour_bucket", "left_semi")
@@ -85,7 +94,7 @@ def value_by_hour_as_written(tx, as_of, days=7):
     """
     lower = as_of - P.interval(days, "DAYS")
     per_hour = (
-        tx.groupBy(P.trunc_ts("hour", TIME).alias("time"))
+        _days(tx, lower, as_of + P.interval(1, "HOURS")).groupBy(P.trunc_ts("hour", TIME).alias("time"))
         .agg(F.sum(AMOUNT).alias("_value"), F.count("*").alias("_n"))
         .filter(F.col("time").between(lower, as_of))
     )

@@ -15,7 +15,8 @@ STALE_AFTER = 300
 
 def volume_check(raw: DataFrame, as_of: Column, hours: int = 1) -> DataFrame:
     amount = F.col("_amount")
-    rows = raw.filter(F.col("received_at") > as_of - P.interval(hours, "HOURS")).withColumn(
+    lower = as_of - P.interval(hours, "HOURS")
+    rows = P.arrived_from(raw, lower).filter(F.col("received_at") > lower).withColumn(
         "_amount", F.col("amount").try_cast("decimal(12,2)")
     )
 

@@ -55,7 +55,7 @@ def ordered_sequence(df: DataFrame, keys: list[str], order: list[Column], levels
     """``row_number`` per key without putting a crowded key into one task.
 
     ``levels`` are bigint expressions that refine the order: rows sorted by ``order`` are also
-    sorted by ``levels``. A group still above ``hot_rows`` is split by the next level; the
+    sorted by ``levels``. Rows of a crowded key are numbered in pieces that agree in all levels; the
     number of a row is its number inside the piece plus the counts of the earlier pieces.
 
     One lazy plan serves both cases: keys are counted, the rows of uncrowded ones get a plain window, and
@@ -66,50 +66,26 @@ def ordered_sequence(df: DataFrame, keys: list[str], order: list[Column], levels
     number = F.row_number().over(Window.partitionBy(*keys).orderBy(*order)).cast("bigint")
     plain = df.join(crowded_keys, same_keys(df, crowded_keys, keys), "left_anti").withColumn(out, number)
     hot = df.join(crowded_keys, same_keys(df, crowded_keys, keys), "left_semi")
-    return plain.unionByName(_pieced_sequence(hot, keys, order, levels, out, hot_rows))
-
-
-def _pieced_sequence(df: DataFrame, keys: list[str], order: list[Column], levels: list[Column], out: str, hot_rows: int) -> DataFrame:
-    level_names = [f"_piece{i}" for i in range(len(levels))]
-    fine_names = [f"_fine{i}" for i in range(len(levels))]
-    fine = df.withColumns({n: F.coalesce(c, F.lit(-2)).cast("bigint") for n, c in zip(fine_names, levels)})
-    counts = fine.groupBy(*keys, *fine_names).agg(F.count("*").alias("_n"))
-
-    def split(frame: DataFrame, big: DataFrame | None, i: int) -> DataFrame:
-        """The next level's number where the group so far is crowded, else one piece."""
-        if big is None:
-            return frame.withColumn(level_names[i], F.col(fine_names[i]))
-        part = keys + level_names[:i]
-        marked = frame.join(big, same_keys(frame, big, part), "left").select(frame["*"], "_crowded")
-        return marked.withColumn(level_names[i], F.when(F.col("_crowded"), F.col(fine_names[i])).otherwise(-1)).drop("_crowded")
-
-    pieces = fine
-    for i in range(len(levels)):
-        big = None  # every key here is crowded
-        if i:
-            part = keys + level_names[:i]
-            groups = counts.groupBy(*part).agg(F.sum("_n").alias("_size")).filter(F.col("_size") > hot_rows)
-            big = F.broadcast(groups.select(*part, F.lit(True).alias("_crowded")))
-        pieces, counts = split(pieces, big, i), split(counts, big, i)
-
-    full = keys + level_names
-    sizes = counts.groupBy(*full).agg(F.sum("_n").alias("_n"))
-    offsets = sizes
-    for i in range(len(levels)):
-        part, upto = keys + level_names[:i], keys + level_names[: i + 1]
-        earlier = Window.partitionBy(*part).orderBy(level_names[i]).rowsBetween(Window.unboundedPreceding, -1)
-        level = sizes.groupBy(*upto).agg(F.sum("_n").alias("_level_n")).select(
-            *upto, F.coalesce(F.sum("_level_n").over(earlier), F.lit(0)).alias(f"_before{i}")
-        )
-        offsets = offsets.join(level, same_keys(offsets, level, upto)).select(offsets["*"], f"_before{i}")
-    before = reduce(add, [F.col(f"_before{i}") for i in range(len(levels))])
-    offsets = offsets.select(*full, before.alias("_before"))
+    return plain.unionByName(_pieced_sequence(hot, keys, order, levels, out))
 
+
+def _pieced_sequence(df: DataFrame, keys: list[str], order: list[Column], levels: list[Column], out: str) -> DataFrame:
+    """Pieces are counted once; one window runs over the first level's groups of a key, one over the pieces of a group."""
+    names = [f"_piece{i}" for i in range(len(levels))]
+    pieces = df.withColumns({n: F.coalesce(c, F.lit(-2)).cast("bigint") for n, c in zip(names, levels)})
+    group, full = [*keys, names[0]], [*keys, *names]
+    counts = pieces.groupBy(*full).agg(F.count("*").alias("_n"))
+
+    def earlier(part: list[str], by: list[str], value: str) -> Column:
+        window = Window.partitionBy(*part).orderBy(*by).rowsBetween(Window.unboundedPreceding, -1)
+        return F.coalesce(F.sum(value).over(window), F.lit(0))
+
+    groups = counts.groupBy(*group).agg(F.sum("_n").alias("_n")).select(*group, earlier(keys, names[:1], "_n").alias("_before"))
+    within = counts.select(*full, (earlier(group, names[1:], "_n") if names[1:] else F.lit(0)).alias("_within"))
+    offsets = within.join(groups, same_keys(within, groups, group)).select(within["*"], "_before")
     numbered = pieces.withColumn("_in_piece", F.row_number().over(Window.partitionBy(*full).orderBy(*order)))
-    return numbered.join(offsets, same_keys(numbered, offsets, full), "left").select(
-        *[numbered[c] for c in df.columns],
-        (F.col("_in_piece") + F.coalesce("_before", F.lit(0))).cast("bigint").alias(out),
-    )
+    return numbered.join(offsets, same_keys(numbered, offsets, full)).select(
+        *[numbered[c] for c in df.columns], (F.col("_in_piece") + F.col("_within") + F.col("_before")).cast("bigint").alias(out))
 
 
 def slotted_sums(df: DataFrame, keys: list[str], time: str, reach: int,

@@ -9,7 +9,7 @@ from ..operators import marts, staging
 
 # Date column and clustering of each warehouse table.
 LAYOUTS = {
-    "raw": ("transaction_date", ["phone_number"]),
+    "raw": ("received_date", ["phone_number"]),
     "staging": ("transaction_date", ["transaction_type", "merchant_code", "county_code", "status"]),
     "hourly": ("date", ["transaction_type", "hour"]),
     "county": ("date", ["county_name"]),
@@ -30,6 +30,12 @@ def warehouse_write(df: DataFrame, path: str, date: str, cluster: list[str], spr
     )
 
 
+def save_raw(raw: DataFrame, path: str, spread: str = "transaction_id", mode: str = "append") -> None:
+    """Landed events by day of arrival, which is what panels and checks of arrivals ask for."""
+    date, cluster = LAYOUTS["raw"]
+    warehouse_write(raw.withColumn(date, F.to_date("received_at")), path, date, cluster, spread, mode)
+
+
 def build_models(raw: DataFrame, built_at: Column | None = None) -> dict[str, DataFrame]:
     """Staging and marts over landed events."""
     stg_raw = staging.stage_raw(raw)

@@ -37,6 +37,28 @@ def test_warehouse_partitions_are_pruned(spark, tmp_path):
     assert last.count() == dashboards.recent(tx, F.lit(day).cast("timestamp_ntz"), 30, "DAYS").count()
 
 
+def test_arrival_panels_read_only_their_days(spark, tmp_path):
+    from shillingflow.operators import dashboards as D
+    from shillingflow.operators import health as H
+
+    d = Dataset(spark, FOLDER)
+    raw_path, tx_path = str(tmp_path / "raw"), str(tmp_path / "tx")
+    warehouse.save_raw(d.raw_feed, raw_path)
+    warehouse.warehouse_write(d.tx, tx_path, "transaction_date", ["customer_phone_number"], "transaction_id")
+    raw, tx = spark.read.parquet(raw_path), spark.read.parquet(tx_path)
+    cases = {
+        "received_date": [lambda r, t: D.raw_loaded(r, d.raw_as_of, 720), lambda r, t: D.ingest_rate(r, d.raw_as_of, 720),
+                          lambda r, t: H.volume_check(r, d.raw_as_of, 720), lambda r, t: D.raw_vs_staged(r, t, d.raw_as_of, days=30)],
+        "transaction_date": [lambda r, t: D.value_by_hour(None, t, d.as_of), lambda r, t: D.value_by_hour_as_written(t, d.as_of)],
+    }
+    for date, panels in cases.items():
+        for panel in panels:
+            stored, plain = panel(raw, tx), panel(d.raw_feed, d.tx)
+            plan = stored._jdf.queryExecution().executedPlan().toString()
+            assert any(date in part.split("]")[0] for part in plan.split("PartitionFilters: [")[1:])
+            assert sorted(map(str, stored.collect())) == sorted(map(str, plain.collect()))
+
+
 def test_models_as_views_and_tables(spark, tmp_path):
     feed = Dataset(spark, FOLDER).raw_feed
     names = warehouse.model_views(feed)
