@@ -64,7 +64,22 @@ FROM (SELECT *, count(*) OVER () AS total, row_number() OVER (ORDER BY transacti
   FROM payments WHERE transaction_status = 'completed' AND transaction_time >= TIMESTAMP '{START}'
     AND transaction_time < TIMESTAMP '{END}' + INTERVAL 1 DAY AND amount BETWEEN 100 AND 200000) p
 WHERE rn BETWEEN 41 AND 60""")
-q("customer_history", lambda d: L.customer_history(d.tx, BUSY))
+def _history(d):
+    names = d.callbacks.select(P.normalize_ke_phone("MSISDN").alias("phone_number"), P.customer_name().alias("customer_name"))
+    return L.customer_history(d.tx, BUSY, names=names)
+
+
+q("customer_history", _history)
+q("customer_history_rows", lambda d: _history(d).select(
+    "phone_number", "customer_name", "total_transactions", "total_amount", F.explode("transactions").alias("t")).select(
+    "phone_number", "customer_name", "total_transactions", "total_amount", "t.transaction_id", "t.amount", "t.account_reference"), f"""
+SELECT '{BUSY}' AS phone_number,
+  (SELECT max(concat_ws(' ', nullif(trim("FirstName"), ''), nullif(trim("MiddleName"), ''), nullif(trim("LastName"), '')))
+   FROM callbacks c JOIN payments p USING (payment_key) WHERE p.phone_number = '{BUSY}' AND "MSISDN" <> '12345') AS customer_name,
+  count(*) OVER () AS total_transactions, CAST(sum(transaction_amount) OVER () AS DOUBLE) AS total_amount,
+  transaction_id, CAST(transaction_amount AS DOUBLE) AS amount, account_reference
+FROM tx WHERE customer_phone_number = '{BUSY}' ORDER BY transaction_timestamp DESC, transaction_id LIMIT 50"""
+)
 q("risk_profile", lambda d: L.risk_profile(d.payments), """
 SELECT phone_number, count(*) AS transaction_count, CAST(sum(amount) AS DOUBLE) AS total_amount,
   CAST(max(amount) AS DOUBLE) AS max_amount,

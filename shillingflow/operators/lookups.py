@@ -101,9 +101,14 @@ def list_transactions(payments: DataFrame, phone: str | None = None, status: str
     )
 
 
-def customer_history(tx: DataFrame, phone: str, limit: int = 50) -> DataFrame:
-    """Totals of a customer and the newest ``limit`` payments as an array."""
+def customer_history(tx: DataFrame, phone: str, limit: int = 50, names: DataFrame | None = None) -> DataFrame:
+    """Name and totals of a customer and the newest ``limit`` payments as an array.
+
+    ``names`` has ``phone_number`` and ``customer_name``, as callbacks carry them; of several names the last by alphabet."""
     mine = tx.filter(F.col(PHONE) == phone)
+    name = F.lit(None).cast("string")
+    if names is not None:
+        name = names.filter(F.col("phone_number") == phone).agg(F.max("customer_name")).scalar()
     totals = mine.agg(F.count("*").alias("n"), F.sum(AMOUNT).cast("double").alias("total"))
     newest = mine.orderBy(F.desc(TIME), "transaction_id").limit(limit).agg(
         F.sort_array(
@@ -112,7 +117,7 @@ def customer_history(tx: DataFrame, phone: str, limit: int = 50) -> DataFrame:
         ).alias("transactions")
     )
     return totals.select(
-        F.lit(phone).alias("phone_number"), F.col("n").alias("total_transactions"),
+        F.lit(phone).alias("phone_number"), name.alias("customer_name"), F.col("n").alias("total_transactions"),
         F.col("total").alias("total_amount"), newest.scalar().alias("transactions"),
     )
 
