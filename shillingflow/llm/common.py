@@ -59,5 +59,13 @@ def with_running(df: DataFrame, keys: list[str], order: list[str], weight: Colum
     return joined.select(*[summed[c] for c in df.columns if c != out], (F.col(inner) + F.col(base)).alias(out))
 
 
+SHORT = 2_000_000
+
+
+def short_list(ids: DataFrame, most: int = SHORT) -> DataFrame:
+    """A written table of a few narrow columns, sent to all tasks if it has at most ``most`` rows; beyond, joins shuffle it."""
+    return F.broadcast(ids) if ids.count() <= most else ids
+
+
 def groups_for(rows: int, per_group: int, least: int = 1) -> int:
     return max(least, math.ceil(rows / per_group))

@@ -4,8 +4,9 @@ Documents with equal shingle sets are one class and are handled once. A class's
 minimum of each of many universal hash functions over its shingles; bands of the signature that
 agree bring classes together in a bucket. In a bucket a maximum spanning forest of the estimated
 similarities is enough to connect what belongs together, so its pairs are tried first, on full
-sets; afterwards only pairs whose ends are still apart are tried. No link that could join two
-components stays untried, and no bucket gives all its pairs unless they all are apart.
+sets. Classes that may still have a link into another component then meet in their buckets once
+more, with their texts, and every such pair is tried there until its ends are connected. So no link
+that could join two components stays untried, and no bucket ever gives more rows than it has classes.
 """
 
 from __future__ import annotations
@@ -14,10 +15,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import write_out
+from .common import short_list
 from .components import components
 from .hashing import mix, shingles, word_hashes
 
@@ -25,6 +28,7 @@ WORDS, PERCENT = 5, 80
 HASHES, ROWS = 128, 4  # 32 bands of 4: a pair at 0.8 shares none once in 2 * 10^7
 SLACK = 0.2  # estimates this far below the limit are dropped: 5.6 standard deviations
 BLOCK = 2048  # classes of a bucket compared in one task
+FEW = 8  # of buckets up to this size with the same classes, one is enough
 
 _A, _B = (np.random.Generator(np.random.PCG64(5)).integers(0, 1 << 63, (2, HASHES), dtype=np.uint64) << np.uint64(1)) + np.array([[1], [0]], np.uint64)
 
@@ -60,44 +64,58 @@ def signed(docs: DataFrame, words: int) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, SIGNED)
 
 
-def banded(classes: DataFrame) -> DataFrame:
-    """``key, id``: one row per class and band."""
+def _keys(sig: np.ndarray) -> np.ndarray:
+    """A key for each band of each signature."""
+    bands = sig.reshape(-1, HASHES // ROWS, ROWS).astype(np.uint64)
     salts = (np.arange(HASHES // ROWS, dtype=np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
+    key = np.broadcast_to(salts, bands.shape[:2]).copy()
+    for k in range(ROWS):
+        key = mix(key * np.uint64(0x9E3779B97F4A7C15) + bands[:, :, k])
+    return key
+
 
+def banded(classes: DataFrame) -> DataFrame:
+    """``key, id, band``: one row per class and band."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo in range(0, batch.num_rows, 2000):
                 part = batch.slice(lo, 2000)
-                sig = np.frombuffer(b"".join(part.column("sig").to_pylist()), np.uint32).reshape(-1, HASHES // ROWS, ROWS).astype(np.uint64)
-                key = np.broadcast_to(salts, sig.shape[:2]).copy()
-                for k in range(ROWS):
-                    key = mix(key * np.uint64(0x9E3779B97F4A7C15) + sig[:, :, k])
-                ids = np.repeat(part.column("id").to_numpy(zero_copy_only=False), sig.shape[1])
-                yield pa.RecordBatch.from_arrays([pa.array(key.ravel().view(np.int64)), pa.array(ids)], ["key", "id"])
+                key = _keys(np.frombuffer(b"".join(part.column("sig").to_pylist()), np.uint32))
+                ids = np.repeat(part.column("id").to_numpy(zero_copy_only=False), key.shape[1])
+                band = np.tile(np.arange(key.shape[1], dtype=np.int32), len(key))
+                yield pa.RecordBatch.from_arrays([pa.array(key.ravel().view(np.int64)), pa.array(ids), pa.array(band)], ["key", "id", "band"])
 
-    return classes.select("id", "sig").mapInArrow(run, "key long, id long")
+    return classes.select("id", "sig").mapInArrow(run, "key long, id long, band int")
 
 
 def buckets(bands: DataFrame) -> DataFrame:
-    """Keys of two or more classes with their numbers. Of buckets with the same classes one is enough."""
-    found = bands.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("low"), F.max("id").alias("high"),
+    """Keys of two or more classes with their numbers and bands. Of small buckets with the same classes one
+    is kept, as band 0; a pair of a large bucket belongs to the first band that it shares."""
+    found = bands.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("band").alias("band"), F.min("id").alias("low"), F.max("id").alias("high"),
                                      F.sum(F.xxhash64("id").cast("decimal(38,0)")).alias("all")).filter("n > 1")
-    return found.groupBy("n", "low", "high", "all").agg(F.min("key").alias("key")).select("key", "n")
+    large = F.col("n") > FEW
+    alike = [F.when(~large, F.col(c)).alias(c) for c in ("low", "high", "all")]
+    return found.groupBy("n", *alike, F.when(large, F.col("key")).alias("own")).agg(F.min("key").alias("key"), F.min("band").alias("band")).select(
+        "key", "n", F.when(large, F.col("band")).otherwise(0).alias("band"))
 
 
 def members(classes: DataFrame, keys: DataFrame, block: int = BLOCK) -> DataFrame:
-    """``key, task, id, sig``: the classes of each bucket, by task. A bucket above ``block`` is dealt into
-    parts and every two parts meet in a task of their own."""
+    """``key, task, band, id, sig``: the classes of each bucket, by task. A bucket above ``block`` is dealt
+    into parts and every two parts meet in a task of their own."""
     parts = F.ceil(F.col("n") / block).cast("int")
-    rows = banded(classes).join(keys, "key").withColumn("parts", parts)
+    rows = banded(classes).drop("band").join(keys, "key").withColumn("parts", parts)
     rows = rows.withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"))
     meet = F.when(F.col("parts") == 1, F.array(F.lit(0))).otherwise(F.transform(
         F.array_remove(F.sequence(F.lit(0), F.col("parts") - 1), F.col("part")),
         lambda other: F.least(other, F.col("part")) * F.col("parts") + F.greatest(other, F.col("part"))))
-    dealt = rows.select("key", "id", F.explode(meet).alias("task"))
+    dealt = rows.select("key", "band", "id", F.explode(meet).alias("task"))
     return dealt.join(classes.select("id", "sig"), "id")
 
 
+def _signatures(part: pa.Table) -> np.ndarray:
+    return np.frombuffer(b"".join(part["sig"].to_pylist()), np.uint32).reshape(part.num_rows, HASHES)
+
+
 def forest(sig: np.ndarray, least: int) -> list[tuple[int, int]]:
     """Links of a maximum spanning forest over pairs with ``least`` or more equal minima (Prim's way)."""
     n = len(sig)
@@ -116,33 +134,77 @@ def forest(sig: np.ndarray, least: int) -> list[tuple[int, int]]:
     return out
 
 
-def apart(sig: np.ndarray, label: np.ndarray, least: int) -> Iterator[tuple[int, int]]:
-    """Pairs with ``least`` or more equal minima whose labels differ."""
+def apart(sig: np.ndarray, label: np.ndarray, band: int, least: int) -> Iterator[tuple[int, np.ndarray]]:
+    """For each class the later ones under another label (as it is by then) with ``least`` or more equal
+    minima, but for those that share a band before this one."""
+    keys = _keys(sig)[:, :band]
     for i in range(len(sig) - 1):
         other = np.flatnonzero(label[i + 1:] != label[i]) + i + 1
-        for j in other[(sig[other] == sig[i]).sum(axis=1) >= least].tolist():
-            yield i, j
+        if len(other):
+            other = other[(sig[other] == sig[i]).sum(axis=1) >= least]
+            if band and len(other):
+                other = other[~(keys[other] == keys[i]).any(axis=1)]
+            if len(other):
+                yield i, other
 
 
-def _pairs(rows: DataFrame, percent: int, spanning: bool) -> DataFrame:
-    """``a, b`` worth trying in each task's bucket."""
+def spanning(rows: DataFrame, percent: int) -> DataFrame:
+    """``a, b``: the pairs of a spanning forest of each task's classes."""
     least = int((percent / 100 - SLACK) * HASHES)
 
     def run(part: pa.Table) -> pa.Table:
-        by = np.argsort(part["id"].to_numpy(), kind="stable")
-        ids = part["id"].to_numpy()[by]
-        label = part["label"].to_numpy()[by] if not spanning else None
-        found: list[tuple[int, int]] = []
-        if spanning or (label != label[0]).any():
-            raw = part["sig"].to_pylist()
-            sig = np.frombuffer(b"".join(raw[i] for i in by.tolist()), np.uint32).reshape(len(ids), HASHES)
-            found = forest(sig, least) if spanning else list(apart(sig, label, least))
-        a, b = ids[[x for x, _ in found]] if found else ids[:0], ids[[y for _, y in found]] if found else ids[:0]
+        part = part.take(pc.sort_indices(part, [("id", "ascending")]))
+        ids = part["id"].to_numpy()
+        found = np.array(forest(_signatures(part), least), np.int64).reshape(-1, 2)
+        a, b = ids[found[:, 0]], ids[found[:, 1]]
         return pa.table({"a": np.minimum(a, b), "b": np.maximum(a, b)})
 
     return rows.groupBy("key", "task").applyInArrow(run, "a long, b long").distinct()
 
 
+def undecided(rows: DataFrame, percent: int) -> DataFrame:
+    """The rows of classes that may have a link into another component, by ``label``."""
+    least = int((percent / 100 - SLACK) * HASHES)
+
+    def run(part: pa.Table) -> pa.Table:
+        label, open_ = part["label"].to_numpy(), np.zeros(part.num_rows, bool)
+        if (label != label[0]).any():
+            part = part.take(pc.sort_indices(part, [("id", "ascending")]))
+            for i, other in apart(_signatures(part), part["label"].to_numpy(), part["band"][0].as_py(), least):
+                open_[i] = True
+                open_[other] = True
+        return part.filter(pa.array(open_))
+
+    return rows.groupBy("key", "task").applyInArrow(run, rows.schema)
+
+
+def settled(rows: DataFrame, words: int, percent: int) -> DataFrame:
+    """``a, b``: confirmed links between components. Rows have their ``text``; a pair is tried on its full sets unless links of its
+    task connect it already."""
+    least = int((percent / 100 - SLACK) * HASHES)
+
+    def run(part: pa.Table) -> pa.Table:
+        part = part.take(pc.sort_indices(part, [("id", "ascending")]))
+        ids, label = part["id"].to_numpy(), part["label"].to_numpy().copy()
+        sets, links = sets_of(part["text"].to_pylist(), words), []
+        for i, other in apart(_signatures(part), label, part["band"][0].as_py(), least):
+            for j in other.tolist():
+                if label[j] != label[i] and _linked(sets[i], sets[j], percent):
+                    links.append((ids[i], ids[j]))
+                    label[label == label[j]] = label[i]
+        links = np.array(links, np.int64).reshape(-1, 2)
+        return pa.table({"a": links[:, 0], "b": links[:, 1]})
+
+    return rows.groupBy("key", "task").applyInArrow(run, "a long, b long").distinct()
+
+
+def _linked(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    if 100 * min(len(x), len(y)) < percent * max(len(x), len(y)):
+        return False
+    both = len(np.intersect1d(x, y, assume_unique=True))
+    return 100 * both >= percent * (len(x) + len(y) - both)
+
+
 def confirmed(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
     """The pairs whose full shingle sets share ``percent`` of their union. ``texts`` has one row per ``id``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -152,11 +214,7 @@ def confirmed(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> D
                 ids = part.column("a").to_pylist(), part.column("b").to_pylist()
                 text = dict(zip(ids[0], part.column("text_a").to_pylist())) | dict(zip(ids[1], part.column("text_b").to_pylist()))
                 sets = dict(zip(text, sets_of(list(text.values()), words)))
-                keep = []
-                for a, b in zip(*ids):
-                    x, y = sets[a], sets[b]
-                    both = len(np.intersect1d(x, y, assume_unique=True))
-                    keep.append(100 * both >= percent * (len(x) + len(y) - both))
+                keep = [_linked(sets[a], sets[b], percent) for a, b in zip(*ids)]
                 yield part.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     left = pairs.join(texts.select(F.col("id").alias("a"), F.col("text").alias("text_a")), "a")
@@ -174,25 +232,28 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
     """
     signs = write_out(signed(docs, words), "signatures")
     linked = signs.filter("doc_id is not null and n > 0")
-    sets = write_out(linked.groupBy("k1", "k2", "n").agg(F.min("doc_id").alias("id")), "classes")
-    classes = write_out(linked.join(sets.select("id"), F.col("doc_id") == F.col("id"), "left_semi").dropDuplicates(["doc_id"]).select(
-        F.col("doc_id").alias("id"), "sig"), "class-signatures")
+    classes = write_out(linked.groupBy("k1", "k2", "n").agg(F.min("doc_id").alias("id"), F.first("sig").alias("sig")), "classes")
+    sets = classes.drop("sig")
     keys = write_out(buckets(banded(classes)), "buckets")
     rows = write_out(members(classes, keys, block), "members")
     texts = docs.select(F.col("doc_id").cast("long").alias("id"), "text")
 
-    def try_out(pairs: DataFrame) -> DataFrame:
-        wanted = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
-        return write_out(confirmed(pairs, texts.join(wanted, "id", "left_semi").dropDuplicates(["id"]), words, percent), "confirmed")
+    def texts_of(ids: DataFrame) -> DataFrame:
+        wanted = short_list(write_out(ids.distinct(), "wanted"))
+        return texts.join(wanted, "id", "left_semi").dropDuplicates(["id"])
+
+    def linked_up(links: DataFrame) -> DataFrame:
+        return write_out(components(links.select(F.col("a").alias("u"), F.col("b").alias("v"))), "components")
 
-    tried = write_out(_pairs(rows, percent, True), "pairs")
-    good = try_out(tried)
-    found = write_out(components(good.select(F.col("a").alias("u"), F.col("b").alias("v"))), "components")
+    pairs = write_out(spanning(rows, percent), "pairs")
+    ends = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id")))
+    good = write_out(confirmed(pairs, texts_of(ends), words, percent), "confirmed")
+    found = linked_up(good)
     labelled = rows.join(found, rows["id"] == found["node"], "left").select(rows["*"], F.coalesce("component", "id").alias("label"))
-    more = write_out(_pairs(labelled, percent, False).join(tried, ["a", "b"], "left_anti"), "pairs")
+    open_rows = write_out(undecided(labelled, percent), "undecided")
+    more = write_out(settled(open_rows.join(texts_of(open_rows.select("id")), "id"), words, percent), "confirmed")
     if not more.isEmpty():
-        links = good.unionByName(try_out(more)).select(F.col("a").alias("u"), F.col("b").alias("v"))
-        found = write_out(components(links), "components")
+        found = linked_up(good.unionByName(more))
     named = sets.join(found, sets["id"] == found["node"], "left").select("k1", "k2", "n", F.coalesce("component", "id").alias("component_id"))
     out = signs.select("doc_id", "n", "k1", "k2").join(named, ["k1", "k2", "n"], "left")
     component = F.when(F.col("doc_id").isNull(), F.lit(None)).otherwise(F.coalesce("component_id", "doc_id"))

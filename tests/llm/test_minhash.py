@@ -1,3 +1,4 @@
+import random
 from collections import defaultdict
 from itertools import combinations
 
@@ -75,11 +76,28 @@ def test_a_crowded_bucket_gives_no_square_of_pairs(spark):
     df = spark.createDataFrame(rows, "doc_id long, text string")
     signs = minhash.signed(df, 5).selectExpr("doc_id AS id", "sig").cache()
     members = minhash.members(signs, minhash.buckets(minhash.banded(signs)))
-    assert minhash._pairs(members, 80, True).count() < 10 * len(rows)
+    assert minhash.spanning(members, 80).count() < 10 * len(rows)
     signs.unpersist()
     assert {r.component_id for r in minhash.near_duplicates(df).collect()} == {0}
 
 
+def test_many_apart_pairs_are_settled_in_their_buckets(spark, monkeypatch):
+    """Texts around one base, mostly below the limit to each other, with some links among them."""
+    base, r = prose(9, 240).split(), random.Random(1)
+    rows = []
+    for i in range(120):
+        words = list(base)
+        for k in r.sample(range(240), r.choice([2, 3, 5, 5, 5])):
+            words[k] = f"w{i}x{k}"
+        rows.append((i, " ".join(words)))
+    want = groups(rows, 5, 80)
+    assert 5 < len({c for _, c in want.values()}) < 110
+    for few, block in ((8, 2048), (2, 30)):
+        monkeypatch.setattr(minhash, "FEW", few)
+        got = minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), 5, 80, block).collect()
+        assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == want
+
+
 def test_signature_estimates_similarity():
     r = np.random.default_rng(3)
     a = r.integers(1, 1 << 62, 1000).astype(np.uint64)
