@@ -38,15 +38,20 @@ class SlotMap:
 
     def rebalanced(self, sizes: np.ndarray, tolerance: float = 1e-4) -> "SlotMap":
         """Moves one slot at a time from the heaviest to the lightest shard, the one that closes most of
-        their gap, until the gap is within ``tolerance`` of a mean shard or no slot narrows it."""
+        their gap, until the gap is within ``tolerance`` of a mean shard. A shard of which no slot narrows
+        the gap, such as one that a single long document fills, is set aside and the others go on."""
         owner, load = np.array(self.shard_of), self._loads(sizes)
         enough = tolerance * max(load.mean(), 1.0)
-        while True:
-            high, low = int(load.argmax()), int(load.argmin())
+        movable = np.ones(self.shards, bool)
+        while movable.any():
+            high, low = int(np.where(movable, load, -1.0).argmax()), int(load.argmin())
             gap = load[high] - load[low]
-            held = np.flatnonzero((owner == high) & (sizes > 0) & (sizes < gap))
-            if gap <= enough or not len(held):
+            if gap <= enough:
                 break
+            held = np.flatnonzero((owner == high) & (sizes > 0) & (sizes < gap))
+            if not len(held):
+                movable[high] = False
+                continue
             slot = held[np.abs(sizes[held] - gap / 2).argmin()]
             owner[slot] = low
             load[high] -= sizes[slot]
