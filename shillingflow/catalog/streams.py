@@ -25,17 +25,23 @@ BATCHES = 3
 
 
 def source(d, table):
-    """A table as a file stream of several micro-batches, oldest rows first.
+    """A table as a file stream of several micro-batches, oldest rows first; rows without a time come first.
 
-    The parts are written one after the other, since files are read in the order of their times."""
+    The parts are written one after the other, since files are read in the order of their times. Every
+    part has as many files as a batch reads, more of them for larger tables: what a small part lacks
+    is filled up with empty files."""
     rows, path, by = d.table(table), shared_dir(d.spark, f"stream-{table}"), F.unix_seconds(F.col(ORDER[table]).cast("timestamp"))
     cuts = [None, *rows.select(by.alias("t")).stat.approxQuantile("t", [i / BATCHES for i in range(1, BATCHES)], 0.01), None]
+    files = max(1, -(-rows.rdd.getNumPartitions() // BATCHES))
     for n, (low, high) in enumerate(zip(cuts, cuts[1:])):
         part = rows if low is None else rows.filter(by >= low)
-        part = part if high is None else part.filter(by < high)
-        part.coalesce(1).write.parquet(f"{path}/{n}")
+        part = part if high is None else part.filter((by < high) | by.isNull() if low is None else by < high)
+        (part.coalesce(1) if files == 1 else part.repartition(files)).write.parquet(f"{path}/{n}")
+        written = len(d.spark.read.schema(rows.schema).parquet(f"{path}/{n}").inputFiles())
+        for k in range(written, files):
+            rows.limit(0).coalesce(1).write.parquet(f"{path}/{n}/empty-{k}")
     return (
-        d.spark.readStream.schema(data.LAYOUTS[table]).option("maxFilesPerTrigger", 1)
+        d.spark.readStream.schema(data.LAYOUTS[table]).option("maxFilesPerTrigger", files)
         .option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").parquet(path)
     )
 
