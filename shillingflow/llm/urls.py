@@ -106,16 +106,26 @@ def with_suffix(rows: DataFrame, labelled: DataFrame) -> DataFrame:
     return rows
 
 
+def draw(labelled: DataFrame, share: float, seed: int) -> DataFrame:
+    """``url, rule_verdict, weight``: a share of the rows, equal urls as one row of their number's share.
+
+    The hash of a url only rounds its share up or down, so a url that many rows hold is neither left
+    out nor taken whole."""
+    slot = F.pmod(F.xxhash64(F.lit(seed), "url"), F.lit(1 << 20)) / F.lit(1 << 20)
+    counted = labelled.groupBy("url", "rule_verdict").agg(F.count(F.lit(1)).alias("copies"))
+    return counted.select("url", "rule_verdict", F.ceil(F.col("copies") * F.lit(share) - slot).cast("double").alias("weight")).filter("weight > 0")
+
+
 def fit(labelled: DataFrame, fit_rows: int = FIT_ROWS, trees: int = 12, depth: int = 4, seed: int = 7):
-    """Boosted trees from about ``fit_rows`` of the labelled rows, chosen by hash; null without two classes."""
+    """Boosted trees from about ``fit_rows`` of the labelled rows, drawn by hash; null without two classes."""
     counts = {r["rule_verdict"]: r["count"] for r in labelled.groupBy("rule_verdict").count().collect()}
     if len(counts) < 2:
         return None
     share = min(1.0, fit_rows / sum(counts.values()))
-    chosen = labelled.filter(F.pmod(F.xxhash64(F.lit(seed), "url"), F.lit(1 << 20)) < int(share * (1 << 20)) + 1)
-    chosen = with_suffix(chosen, labelled).select(*FEATURES, F.when(F.col("rule_verdict") == "block", 1.0).otherwise(0.0).alias("label"))
+    chosen = lexical(with_parts(draw(labelled, share, seed)))
+    chosen = with_suffix(chosen, labelled).select(*FEATURES, "weight", F.when(F.col("rule_verdict") == "block", 1.0).otherwise(0.0).alias("label"))
     data = VectorAssembler(inputCols=FEATURES, outputCol="features").transform(write_out(chosen, "url-sample"))
-    return GBTClassifier(maxIter=trees, maxDepth=depth, maxBins=32, seed=seed).fit(data.select("features", "label"))
+    return GBTClassifier(maxIter=trees, maxDepth=depth, maxBins=32, seed=seed, weightCol="weight").fit(data.select("features", "label", "weight"))
 
 
 def judge(pages: DataFrame, rules: tuple[Rule, ...] = RULES, fit_rows: int = FIT_ROWS) -> DataFrame:
