@@ -9,7 +9,6 @@ from ..session import shared_dir, write_out
 from .base import query
 
 COLUMNS = ["transaction_id", "phone_number", "amount", "transaction_time", "business_shortcode", "region"]
-ROUNDS = 20
 
 
 def rows(d):
@@ -18,7 +17,7 @@ def rows(d):
 
 def trained(d, with_supervised=False):
     """A training run of its own for every query: results depend on the data alone."""
-    models = store.train_models(rows(d), ROUNDS, with_supervised)
+    models = store.train_models(rows(d), with_supervised=with_supervised)
     return models, store.stored_features(rows(d), models.profiles)
 
 
