@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import huffman, minhash, mixing, packing, quality, quotes, sharding, suffixes, topk, urls
+from . import codes, decontamination, huffman, minhash, mixing, packing, quality, quotes, repair, sharding, suffixes, topk, urls
 from .common import table
 
 
@@ -25,7 +25,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_suffix_merge": _over("documents", suffixes.op8),
     "op9_threshold_topk": _over("embeddings", topk.op9),
     "op10_quote_links": _over("conversations", quotes.op10),
+    "op11_norm_sum_codes": _over("embeddings", codes.op11),
+    "op12_aho_corasick": lambda spark, folder: decontamination.op12(table(spark, folder, "documents"), table(spark, folder, "benchmark")),
+    "op13_lightest_repair": _over("conversations", repair.op13),
 }
 SQL: dict[str, str] = {
     "op9_threshold_topk": topk.OP9_SQL,
+    "op11_norm_sum_codes": codes.OP11_SQL,
+    "op12_aho_corasick": decontamination.OP12_SQL,
 }

@@ -14,11 +14,13 @@ COLUMNS = {
     3: "doc_id n_words word_chars n_symbols n_dup_lines n_repeat_words base_failed kept", 4: "doc_id size text_crc32 law shard slot grown_shard",
     5: "doc_id start n_tokens ids_crc32", 6: "doc_id size source_size target taken", 7: "page_id host path rule verdict",
     8: "doc_id n_bytes n_removed n_spans kept_sha256", 9: "query_id rank vec_id score", 10: "conv_id turn role content chat position",
+    11: "vec_id code error label_error codebooks_sha256", 12: "doc_id n_words n_hit n_items items_sha256 contaminated",
+    13: "conv_id gaps blank duplicate truncated illegal cost audit repaired_sha256",
 }
 
 
 def test_one_query_for_each_operator():
-    assert sorted(int(k[2:].split("_")[0]) for k in QUERIES) == list(range(1, 11))
+    assert sorted(int(k[2:].split("_")[0]) for k in QUERIES) == list(range(1, 14))
     assert set(QUERIES) | {"pipeline"} <= set(entry.queries()) and set(SQL) <= set(entry.oracle_sql())
 
 
