@@ -260,6 +260,29 @@ q("insert_ignore_anti", lambda d: landing.insert_ignore(*_split(d)),
   f"""SELECT * FROM ({FIRST.format(where="WHERE received_at >= TIMESTAMP '1998-01-01'")}) n
   WHERE transaction_id IS NULL OR transaction_id NOT IN
     (SELECT transaction_id FROM raw_feed WHERE received_at < TIMESTAMP '1998-01-01' AND transaction_id IS NOT NULL)""")
+
+
+def _indexed(d):
+    """The feed in arrival order, landed in three batches against the id index."""
+    from ..session import shared_dir
+    from ..sources.idindex import IdIndex
+
+    path = shared_dir(d.spark, "indexed")
+    index, feed = IdIndex(d.spark, f"{path}/ids", fan=2, period="year"), d.raw_feed.select(*LANDED)
+    cuts = feed.select(F.unix_seconds(F.col("received_at").cast("timestamp")).alias("t")).stat.approxQuantile("t", [1 / 3, 2 / 3], 0.01)
+    number = F.lit(0)
+    for cut in cuts:
+        number = number + F.when(F.unix_seconds(F.col("received_at").cast("timestamp")) >= cut, 1).otherwise(0)
+    feed = feed.withColumn("_batch", number)
+    for n in range(3):
+        index.compact(n)
+        rows = landing.insert_indexed(index, feed.filter(F.col("_batch") == n).drop("_batch"), n)
+        rows.write.parquet(f"{path}/raw/batch={n}")
+        index.add(d.spark.read.schema(rows.schema).parquet(f"{path}/raw/batch={n}"), n)
+    return d.spark.read.parquet(f"{path}/raw").drop("batch")
+
+
+q("insert_ignore_indexed", _indexed, FIRST.format(where=""))
 q("confirm_upsert", lambda d: landing.confirm_upsert(d.raw_feed.select(*LANDED)), """
 SELECT transaction_id, min(received_at) AS received_at, arg_min(phone_number, received_at) AS phone_number,
   arg_min(amount, received_at) AS amount, arg_max(payload, received_at) AS payload,

@@ -9,7 +9,7 @@ from ..sources import dataset as data
 from ..streaming import events as E
 from ..streaming import lag as G
 from ..streaming import landing as N
-from ..streaming.runner import latest, materialize, run_available, write_batch
+from ..streaming.runner import latest, materialize, run_available, use_rocksdb, write_batch
 from ..streaming.velocity import velocity, velocity_batches
 from .analytics import EV, HOURLY_SQL, r2
 from .base import query
@@ -164,7 +164,7 @@ def _feed_stream(d):
 
 def _landed(d):
     path = shared_dir(d.spark, "landing")
-    N.run_landing(_feed_stream(d), path)
+    N.run_landing(_feed_stream(d), path, period="year")  # the feed spans years
     return path
 
 
@@ -183,11 +183,14 @@ def _stk_stream(d):
     p = data.payments(source(d, "orders"))
     requests = data.stk_requests(p).withColumn("initiated_at", F.col("initiated_at").cast("timestamp"))
     calls = stk.stk_flatten(data.stk_messages(p), keep=("received_at",))
-    return N.match_stk(requests, calls.withColumn("received_at", F.col("received_at").cast("timestamp")))
+    return N.stk_events(requests, calls.withColumn("received_at", F.col("received_at").cast("timestamp")))
 
 
 def _stk_state(d):
-    state = latest(materialize(_stk_stream(d), "stk", "update"), ["checkout_request_id"])
+    path = shared_dir(d.spark, "stk")
+    use_rocksdb(d.spark)
+    N.run_stk(_stk_stream(d), path)
+    state = N.settled_at(d.spark, path)
     return naive(N.expire(state, d.as_of.cast("timestamp")), "initiated_at", "completed_at")
 
 

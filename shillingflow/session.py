@@ -65,3 +65,8 @@ def write_out(df, purpose: str):
     path = shared_dir(spark, purpose)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def empty_out(spark: SparkSession, path: str, schema) -> None:
+    """Empties a written table that nothing reads any more; an overwrite, so it works on any store."""
+    spark.createDataFrame([], schema).write.mode("overwrite").parquet(path)

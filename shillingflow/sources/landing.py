@@ -9,57 +9,69 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.payments import from_time, interval
+from .idindex import IdIndex
 
 
 def _sortable(df: DataFrame, names: list[str]) -> list:
     """Columns that can be compared; maps are compared by their text."""
-    return [F.to_json(c).alias(c) if df.schema[c].dataType.typeName() in ("map", "variant") else F.col(c) for c in names]
+    return [F.to_json(c) if df.schema[c].dataType.typeName() in ("map", "variant") else F.col(c) for c in names]
 
 
-def split_repeated(events: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
-    """Rows whose id occurs once (or is null), and the rows of repeated ids.
-
-    Ids are counted with fixed-width values only; the few that repeat are the hashed side of both
-    joins, so rows that have no copy are neither sorted nor aggregated.
-    """
-    repeated = events.filter(F.col(key).isNotNull()).groupBy(key).count().filter("count > 1").select(key).hint("shuffle_hash")
-    return events.join(repeated, key, "left_anti").select(*events.columns), events.join(repeated, key, "left_semi").select(*events.columns)
+def _apart(key: str):
+    """0 for rows with an id; rows without one each get a number of their own, so none is another's copy
+    and they are spread over all tasks."""
+    return F.when(F.col(key).isNull(), F.monotonically_increasing_id()).otherwise(0)
 
 
 def first_per_id(events: DataFrame, key: str = "transaction_id", order: str = "received_at") -> DataFrame:
     """Earliest row per id; rows without an id are all kept. Ties go to the smallest remaining columns.
 
-    An aggregate rather than a rank, so copies are dropped before the shuffle and a heavily
-    repeated id never fills a task.
+    One aggregate over one scan: copies are dropped before the exchange as well as after it, so a heavily
+    repeated id sends one row per task.
     """
     rest = [c for c in events.columns if c not in (key, order)]
-    once, copies = split_repeated(events, key)
-    first = copies.groupBy(key).agg(
-        F.min_by(F.struct(order, *rest), F.struct(order, *_sortable(events, rest))).alias("_first")).select(key, "_first.*")
-    return once.unionByName(first.select(*events.columns))
+    whole = F.struct(order, *rest)
+    sortable = not any(events.schema[c].dataType.typeName() in ("map", "variant") for c in rest)
+    first = (F.min(whole) if sortable else F.min_by(whole, F.struct(order, *_sortable(events, rest)))).alias("_first")
+    return events.groupBy(key, _apart(key).alias("_apart")).agg(first).select(key, "_first.*").select(*events.columns)
 
 
 def insert_ignore(target: DataFrame, incoming: DataFrame, key: str = "transaction_id") -> DataFrame:
-    """Rows to append: the first arrival of every id the target does not hold yet."""
-    held = target.select(key).distinct()  # copies in the target shrink before the shuffle
-    return first_per_id(incoming, key).join(held, key, "left_anti").select(*incoming.columns)
+    """Rows to append: the first arrival of every id the target does not hold yet.
+
+    It reads all ids of the target; ``insert_indexed`` doesn't."""
+    held = target.filter(F.col(key).isNotNull()).select(key).distinct()  # copies in the target shrink before the shuffle
+    return _without(first_per_id(incoming, key), held, key)
+
+
+def _without(rows: DataFrame, held: DataFrame, key: str) -> DataFrame:
+    """Rows whose id is not held. Rows without an id are no copies; each looks for a text that no id has, so
+    they don't meet in one task."""
+    probe = F.when(F.col(key).isNull(), F.concat(F.lit("\0"), F.monotonically_increasing_id())).otherwise(F.col(key).cast("string"))
+    return rows.withColumn("_probe", probe).join(held.select(F.col(held.columns[0]).cast("string").alias("_probe")), "_probe", "left_anti").select(
+        *rows.columns)
+
+
+def insert_indexed(index: IdIndex, incoming: DataFrame, batch_id: int) -> DataFrame:
+    """As ``insert_ignore`` against all earlier batches of a table with an id index: only the buckets and days
+    that the batch can meet are read. Hand what was written to ``index.add``."""
+    return _without(first_per_id(incoming, index.key, index.arrival), index.held(incoming, batch_id), index.key)
 
 
 def confirm_upsert(events: DataFrame, key: str = "transaction_id", order: str = "received_at",
                    replaced: str = "payload") -> DataFrame:
     """State of the table after all confirmations: first values, last payload, status confirmed.
 
-    Pass the union of the stored table and the new events to merge into an existing table.
+    Pass the union of the stored table and the new events to merge into an existing table. One aggregate
+    over one scan: copies of an id are merged before the exchange as well as after it.
     """
     kept = [c for c in events.columns if c not in (key, order, replaced)]
-    once, copies = split_repeated(events, key)
-    merged = copies.groupBy(key).agg(
+    merged = events.groupBy(key, _apart(key).alias("_apart")).agg(
         F.min_by(F.struct(order, *kept), F.struct(order, *_sortable(events, kept))).alias("_first"),
-        F.max(F.struct(order, replaced)).alias("_last"),
-    ).select(key, "_first.*", F.col(f"_last.{replaced}").alias(replaced), F.col(f"_last.{order}").alias("updated_at"))
-    never = F.lit(None).cast(events.schema[order].dataType).alias("updated_at")
-    return once.select(*events.columns, never).unionByName(merged.select(*events.columns, "updated_at")).withColumn(
-        "status", F.lit("confirmed"))
+        F.max(F.struct(order, replaced)).alias("_last"), F.count(F.lit(1)).alias("_n"))
+    return merged.select(
+        key, "_first.*", F.col(f"_last.{replaced}").alias(replaced), F.when(F.col("_n") > 1, F.col(f"_last.{order}")).alias("updated_at"),
+    ).select(*events.columns, "updated_at", F.lit("confirmed").alias("status"))
 
 
 def append_plain(events: DataFrame, path: str) -> None:

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -22,21 +26,29 @@ def rules(events: DataFrame, amount: str = "TransAmount", max_single: float = P.
     return events.withColumns(P.anomaly_columns(amount, max_single=max_single))
 
 
-def dedupe(events: DataFrame, key: str = "TransID", ts: str = "event_time", memory: str = "24 hours",
-           salts: int = 8) -> DataFrame:
+def _first_copies(key: str):
+    """Drops, within each Arrow batch, all but the first row of an id; rows without one stay."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids = batch.column(batch.schema.get_field_index(key))
+            codes = ids.dictionary_encode().indices
+            _, first = np.unique(codes.drop_null().to_numpy(zero_copy_only=False), return_index=True)
+            known = np.flatnonzero(ids.is_valid().to_numpy(zero_copy_only=False))
+            keep = np.sort(np.concatenate([known[first], np.flatnonzero(ids.is_null().to_numpy(zero_copy_only=False))]))
+            yield batch if len(keep) == batch.num_rows else batch.take(pa.array(keep))
+    return run
+
+
+def dedupe(events: DataFrame, key: str = "TransID", ts: str = "event_time", memory: str = "24 hours") -> DataFrame:
     """First event per id within ``memory``; events without an id all pass.
 
-    Copies of one id are first reduced per input partition and salt, so a heavily repeated id
-    reaches the task that owns it at most ``salts`` times per memory span.
+    One stateful step holds every id once and drops it when ``memory`` is over. Copies inside a micro-batch
+    are reduced before the shuffle, so a heavily repeated id reaches the task that owns it a few times per
+    micro-batch, however many copies there are.
     """
-    marked = events.withWatermark(ts, memory)
-    known = marked.filter(F.col(key).isNotNull())
-    if salts > 1:
-        known = (
-            known.withColumn("_salt", F.spark_partition_id() % salts)
-            .dropDuplicatesWithinWatermark([key, "_salt"]).drop("_salt")
-        )
-    return known.dropDuplicatesWithinWatermark([key]).unionByName(marked.filter(F.col(key).isNull()))
+    few = events.filter(F.col(key).isNotNull()).mapInArrow(_first_copies(key), events.schema)
+    return few.withWatermark(ts, memory).dropDuplicatesWithinWatermark([key]).unionByName(
+        events.withWatermark(ts, memory).filter(F.col(key).isNull()))
 
 
 def category_windows(events: DataFrame, size: str, slide: str | None = None, ts: str = "event_time",

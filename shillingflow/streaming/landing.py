@@ -2,26 +2,20 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Iterator
+from concurrent.futures import ThreadPoolExecutor
+
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming.state import GroupState
 
 from ..functions import validation as V
 from ..functions.payments import PREFIX_REGIONS, phone_prefix, standardize_phone, txn_time
 from ..operators import ingest, quality, stk
-from ..sources.landing import insert_ignore
-from .runner import run_available, with_batch, write_batch
-
-
-def _stored(spark, path: str, before_batch: int, schema, horizon_days: int | None, oldest) -> DataFrame:
-    """Rows landed by earlier batches; a replayed batch does not see its own output."""
-    place = spark._jvm.org.apache.hadoop.fs.Path(path)
-    if not place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place):  # the first batch
-        return spark.createDataFrame([], schema)
-    table = spark.read.schema(with_batch(schema)).parquet(path)
-    kept = table.filter(F.col("batch") < before_batch)
-    if horizon_days is not None:
-        kept = kept.filter(F.col("received_at") >= oldest - F.expr(f"INTERVAL {int(horizon_days)} DAYS"))
-    return kept.drop("batch")
+from ..sources.idindex import PERIOD, IdIndex
+from ..sources.landing import insert_indexed
+from .runner import WATERMARK, batch_path, run_available, write_batch
 
 
 def with_rule(events: DataFrame, regions: bool = False) -> DataFrame:
@@ -38,32 +32,36 @@ def with_rule(events: DataFrame, regions: bool = False) -> DataFrame:
     return checked.withColumn("is_valid", F.col("rule") == "ok")
 
 
-def land(events: DataFrame, path: str, horizon_days: int | None = None, regions: bool = False):
+def land(events: DataFrame, path: str, horizon_days: int | None = None, regions: bool = False, period: str = PERIOD):
     """Batch function: validate, drop copies, append new ids, send the rest to dead letters.
 
-    Every id is checked against all landed ids unless ``horizon_days`` limits how far back a copy
-    may arrive. The anti join reads only the id column of the landed files.
+    Copies of earlier batches are found in the table's id index: a batch reads only the hash buckets that
+    its ids fall into and, where ``horizon_days`` says how late a copy may arrive, only those arrival periods of the index.
+    Small blocks of the index are merged while the batch lands.
     """
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
+        index = IdIndex(batch.sparkSession, f"{path}/ids", horizon_days=horizon_days, period=period)
         checked = with_rule(batch, regions)
-        checked.persist()  # read twice; lost blocks are recomputed from the source
+        checked.persist()  # read several times; lost blocks are recomputed from the source
         try:
-            valid, letters = quality.route(checked)
-            rows = valid.drop("rule", "is_valid", "_corrupt").withColumn("transaction_time", txn_time("transaction_time"))
-            oldest = rows.agg(F.min("received_at")).scalar() if horizon_days is not None else None
-            stored = _stored(spark, f"{path}/raw", batch_id, rows.schema, horizon_days, oldest)
-            write_batch(insert_ignore(stored, rows), f"{path}/raw", batch_id)
-            write_batch(letters, f"{path}/dead_letters", batch_id)
+            with ThreadPoolExecutor(1) as beside:
+                merging = beside.submit(index.compact, batch_id)
+                valid, letters = quality.route(checked)
+                rows = valid.drop("rule", "is_valid", "_corrupt").withColumn("transaction_time", txn_time("transaction_time"))
+                write_batch(insert_indexed(index, rows, batch_id), f"{path}/raw", batch_id)
+                landed = batch.sparkSession.read.schema(rows.schema).parquet(batch_path(f"{path}/raw", batch_id))
+                index.add(landed, batch_id)
+                write_batch(letters, f"{path}/dead_letters", batch_id)
+                merging.result()
         finally:
             checked.unpersist()
 
     return sink
 
 
-def run_landing(events: DataFrame, path: str, horizon_days: int | None = None, regions: bool = False):
-    return run_available(events, land(events, path, horizon_days, regions), f"{path}/checkpoint")
+def run_landing(events: DataFrame, path: str, horizon_days: int | None = None, regions: bool = False, period: str = PERIOD):
+    return run_available(events, land(events, path, horizon_days, regions, period), f"{path}/checkpoint")
 
 
 def retry(letters: DataFrame, path: str):
@@ -77,26 +75,85 @@ def retry(letters: DataFrame, path: str):
     return run_available(letters, sink, f"{path}/checkpoint")
 
 
-def match_stk(requests: DataFrame, callbacks: DataFrame) -> DataFrame:
-    """One row per request with its last callback, updated as either arrives, in any order and however late.
+ASKED = ["initiated_at", "phone_number", "amount", "account_reference"]
+TOLD = ["received_at", "result_code", "result_desc"]
+PENDING = "initiated_at timestamp"
+EXPIRED = "checkout_request_id string, initiated_at timestamp, expired_at timestamp"
 
-    Run it in update mode. ``requests`` carries ``initiated_at``, ``callbacks`` are flattened and carry
-    ``received_at``. Copies of a request or a callback change nothing; a stray callback waits for its request.
-    """
-    asked = ["initiated_at", "phone_number", "amount", "account_reference"]
-    told = ["received_at", "result_code", "result_desc"]
-    call = callbacks.filter(F.col("checkout_request_id").isNotNull()).select("checkout_request_id", F.struct(*told).alias("call"))
-    ask = requests.select("checkout_request_id", F.struct(*asked).alias("ask"))
-    both = ask.withColumn("call", F.lit(None).cast(call.schema["call"].dataType)).unionByName(
+
+def stk_events(requests: DataFrame, callbacks: DataFrame) -> DataFrame:
+    """Requests (``ask``) and callbacks with an id (``call``) as one stream of ``checkout_request_id, at, ask, call``.
+
+    ``requests`` carries ``initiated_at``, ``callbacks`` are flattened and carry ``received_at``."""
+    ask = requests.select("checkout_request_id", F.col("initiated_at").alias("at"), F.struct(*ASKED).alias("ask"))
+    call = callbacks.filter(F.col("checkout_request_id").isNotNull()).select(
+        "checkout_request_id", F.col("received_at").alias("at"), F.struct(*TOLD).alias("call"))
+    return ask.withColumn("call", F.lit(None).cast(call.schema["call"].dataType)).unionByName(
         call.withColumn("ask", F.lit(None).cast(ask.schema["ask"].dataType)))
-    last = both.groupBy("checkout_request_id").agg(F.min("ask").alias("ask"), F.max("call").alias("call")).filter("ask is not null")
-    return last.select(
-        "checkout_request_id", *[F.col(f"ask.{c}") for c in asked[1:]], "ask.initiated_at",
-        F.when(F.col("call").isNull(), "initiated").otherwise(stk.stk_status(F.col("call.result_code"))).alias("status"),
+
+
+def stk_expiries(events: DataFrame, timeout: str = "2 minutes", watermark: str = WATERMARK) -> DataFrame:
+    """Requests whose timer runs out unanswered: ``checkout_request_id, initiated_at, expired_at``.
+
+    A pending request is keyed state with a timer ``timeout`` after its start. A callback ends the state;
+    so does the timer, which emits the expiry. Nothing else is kept: callbacks without a pending request
+    leave no state, so it holds the requests of the last ``timeout`` and watermark only. Run it in append
+    mode. A request that is older than the watermark when it comes gets no timer; ``settled`` sees it by
+    its time.
+    """
+    wait = pd.Timedelta(timeout).to_pytimedelta()
+
+    def step(key: tuple, rows: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            (begun,) = state.get
+            state.remove()
+            yield pd.DataFrame({"checkout_request_id": [key[0]], "initiated_at": [begun], "expired_at": [begun + wait]})
+            return
+        begun = state.get[0] if state.exists else None
+        answered = False
+        for frame in rows:  # a request and its callbacks in one batch, in any order
+            answered |= bool(frame["is_call"].any())
+            asked = frame.loc[~frame["is_call"], "at"].dropna()
+            if len(asked):
+                begun = asked.min() if begun is None else min(begun, asked.min())
+        if answered or begun is None:
+            if state.exists:
+                state.remove()
+            return
+        state.update((begun,))
+        due = int((pd.Timestamp(begun) + wait).timestamp() * 1000)
+        state.setTimeoutTimestamp(max(due, state.getCurrentWatermarkMs() + 1))
+
+    keyed = events.filter(F.col("checkout_request_id").isNotNull() & F.col("at").isNotNull()).withWatermark("at", watermark).select(
+        "checkout_request_id", "at", F.col("call").isNotNull().alias("is_call"))
+    return keyed.groupBy("checkout_request_id").applyInPandasWithState(step, EXPIRED, PENDING, "append", "EventTimeTimeout")
+
+
+def run_stk(events: DataFrame, path: str, timeout: str = "2 minutes"):
+    """Appends requests and callbacks under ``path`` and, by their timers, expiries. Both may be restarted."""
+    recorded = run_available(events, lambda df, n: write_batch(df, f"{path}/events", n), f"{path}/checkpoint-events")
+    timed = run_available(stk_expiries(events, timeout), lambda df, n: write_batch(df, f"{path}/expired", n), f"{path}/checkpoint-timers")
+    return recorded, timed
+
+
+def settled(events: DataFrame, expired: DataFrame) -> DataFrame:
+    """One row per request with its last callback, in whatever order and however late it came; a request
+    that only its timer ended reads as expired until a callback says otherwise. Copies change nothing."""
+    ended = expired.select("checkout_request_id", F.lit(True).alias("ended")).distinct()
+    last = events.groupBy("checkout_request_id").agg(F.min("ask").alias("ask"), F.max("call").alias("call")).filter("ask is not null")
+    waiting = F.when(F.col("ended"), "expired").otherwise("initiated")
+    return last.join(ended, "checkout_request_id", "left").select(
+        "checkout_request_id", *[F.col(f"ask.{c}") for c in ASKED[1:]], "ask.initiated_at",
+        F.when(F.col("call").isNull(), waiting).otherwise(stk.stk_status(F.col("call.result_code"))).alias("status"),
         "call.result_code", "call.result_desc", F.col("call.received_at").alias("completed_at"),
     )
 
 
+def settled_at(spark: SparkSession, path: str) -> DataFrame:
+    """``settled`` over what ``run_stk`` has written."""
+    return settled(spark.read.parquet(f"{path}/events"), spark.read.schema(EXPIRED + ", batch long").parquet(f"{path}/expired"))
+
+
 def expire(matched: DataFrame, as_of: Column, timeout: str = "2 minutes") -> DataFrame:
     """Requests that have waited longer than ``timeout`` read as expired, until a callback says otherwise."""
     late = (F.col("status") == "initiated") & (F.col("initiated_at") < as_of - F.expr(f"INTERVAL {timeout}"))

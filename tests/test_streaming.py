@@ -56,6 +56,18 @@ def test_dedupe_across_batches(spark, tmp_path):
     assert sorted(str(r.TransID) for r in rows) == ["1", "2", "None", "None"]
 
 
+def test_dedupe_holds_every_id_once_and_goes_on_after_a_restart(spark, tmp_path):
+    put(spark, tmp_path / "in", "a", [("hot", "p", 1.0, k) for k in range(500)] + [(str(k), "p", 1.0, k) for k in range(5)])
+    frame = E.dedupe(stream(spark, tmp_path / "in"))
+    write = lambda df, n: write_batch(df, f"{tmp_path}/out", n)
+    first = run_available(frame, write, f"{tmp_path}/checkpoint")
+    assert len(first.lastProgress["stateOperators"]) == 1 and first.recentProgress[0]["stateOperators"][0]["numRowsTotal"] == 6
+    assert first.recentProgress[0]["stateOperators"][0]["customMetrics"]["numDroppedDuplicateRows"] == 0  # copies fell out before the shuffle
+    put(spark, tmp_path / "in", "b", [("hot", "p", 1.0, 900), ("3", "p", 1.0, 901), ("9", "p", 1.0, 902)])
+    run_available(E.dedupe(stream(spark, tmp_path / "in")), write, f"{tmp_path}/checkpoint")
+    assert sorted(r.TransID for r in spark.read.parquet(f"{tmp_path}/out").collect()) == ["0", "1", "2", "3", "4", "9", "hot"]
+
+
 def test_velocity_equals_batch_twin(spark, tmp_path):
     burst = [(str(i), "0712", 10.0, 55 + i * 3) for i in range(12)] + [("x", "0799", 10.0, 60), ("y", "0799", 10.0, 60)]
     put(spark, tmp_path / "in", "a", burst[:8])
@@ -141,11 +153,19 @@ def test_requests_follow_their_last_callback(spark, tmp_path):
     add("call", 2, [("a", 0, "then yes", at(60)), ("c", 0, "very late", at(4000))], calls)
     add("req", 3, [("new", "p", 1.0, "r", at(20000))], schema)
     add("call", 3, [(None, 1, "no", at(20000)), ("stray", 1, "no", at(1))], calls)
-    collect(spark, landing.match_stk(read("req", schema), read("call", calls)), tmp_path, "update")
-    state = latest(spark.read.parquet(f"{tmp_path}/out"), ["checkout_request_id"])
-    rows = landing.expire(state, F.lit(at(20010))).collect()
-    assert {r.checkout_request_id: r.status for r in rows} == {
-        "a": "completed", "b": "expired", "c": "completed", "z": "expired", "early": "completed", "new": "initiated"}
+    _, timed = landing.run_stk(landing.stk_events(read("req", schema), read("call", calls)), str(tmp_path))
+    state = landing.settled_at(spark, str(tmp_path))
+    before = {r.checkout_request_id: r.status for r in state.collect()}
+    assert before == {"a": "completed", "b": "expired", "c": "completed", "z": "expired", "early": "completed", "new": "initiated"}
+    assert {r.status for r in landing.expire(state, F.lit(at(20130))).filter("checkout_request_id = 'new'").collect()} == {"expired"}
+    # timers ended what was pending: only the last request is still held
+    assert timed.lastProgress["stateOperators"][0]["numRowsTotal"] == 1
+    held = [p["stateOperators"][0]["numRowsTotal"] for p in timed.recentProgress if p["stateOperators"]]
+    assert max(held) > held[-1]
+    # hours later a callback still wins, after a restart
+    add("call", 4, [("b", 0, "hours late", at(90000))], calls)
+    landing.run_stk(landing.stk_events(read("req", schema), read("call", calls)), str(tmp_path))
+    assert {r.checkout_request_id: r.status for r in landing.settled_at(spark, str(tmp_path)).collect()} == before | {"b": "completed", "new": "expired"}
 
 
 def test_topic_schema_lands(spark, tmp_path):
