@@ -1,7 +1,11 @@
 """The 36 dashboard panels and the account list behind their filter."""
 
+from pyspark.sql import functions as F
+
 from ..operators import dashboards as D
 from ..operators import lookups
+from ..session import shared_dir
+from ..sources.history import History
 from .base import query
 
 NOW = "(SELECT as_of FROM clock)"
@@ -19,7 +23,11 @@ TODAY = f"tx WHERE transaction_date = CAST({NOW} AS DATE)"
 
 RAW_CLOCK = "(SELECT max(received_at) + INTERVAL 12 HOUR FROM raw_feed)"
 
+CATALOG_SQL = {}
+
+
 def panel(key, build, sql):
+    CATALOG_SQL[key] = sql
     query(key, sql)(build)
 
 
@@ -101,6 +109,23 @@ panel("risk_review_list", lambda d: D.risk_review_list(d.tx, d.as_of),
         string_agg(DISTINCT risk_bucket, ', ' ORDER BY risk_bucket) AS risk_reasons
       FROM {last(7, 'DAY', 'risky')} AND risk_bucket <> 'normal'
       GROUP BY 1 ORDER BY value_kes DESC, 1 LIMIT 50""")
+
+
+def _history(d):
+    """The customers' stored counts after three increments, each of payments of all times; the last one reaches
+    behind the snapshot that is taken before it."""
+    path = shared_dir(d.spark, "history")
+    kept = History(d.spark, path).start()
+    third = F.pmod(F.xxhash64("transaction_id"), F.lit(3))
+    for n in range(3):
+        kept.add(d.tx.filter(third == n), n)
+        if n == 1:
+            kept.snapshot(f"{d.spark.range(1).select(F.trunc(F.to_date(d.as_of), 'month')).first()[0]:%Y-%m}", n)
+    return kept
+
+
+panel("risk_review_list_stored", lambda d: D.risk_review_list(d.tx, d.as_of, history=_history(d)), CATALOG_SQL["risk_review_list"])
+panel("risk_mix_stored", lambda d: D.risk_mix(d.tx, d.as_of, hours=2160, history=_history(d)), CATALOG_SQL["risk_mix"])
 panel("risk_bucket", lambda d: D.with_risk(d.tx_sequenced).groupBy("risk_bucket").count().withColumnRenamed("count", "events"),
       "SELECT risk_bucket, count(*) AS events FROM risky GROUP BY 1")
 

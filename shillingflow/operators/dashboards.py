@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions import payments as P
 from ..plans.skew import HOT_ROWS, exact_quantiles, profile_join
+from ..sources.history import History
 from . import marts, staging
 
 AMOUNT = "transaction_amount"
@@ -205,17 +206,20 @@ SEQUENCE = "transaction_sequence_per_customer"
 
 
 def recent_sequenced(tx: DataFrame, as_of: Column, n: int, unit: str, accounts: list[str] | None = None,
-                     hot_rows: int = HOT_ROWS) -> DataFrame:
+                     hot_rows: int = HOT_ROWS, history: History | None = None) -> DataFrame:
     """Recent rows with their number in the customer's whole history.
 
-    A saved staging table already holds the number. Without it, only the recent rows are
-    numbered; what came before is a count per customer, which shrinks before the shuffle.
+    Every row has a customer, as staged rows do. A saved staging table already holds the number. Without it, only the recent rows are
+    numbered; what came before is a count per customer. With ``history`` that count comes from its stored
+    totals and the first day's rows, so nothing older is read (``as_of`` must then be a literal).
     """
     if SEQUENCE in tx.columns:
         return recent(tx, as_of, n, unit, accounts)
     lower = as_of - P.interval(n, unit)
     numbered = staging.with_sequence(recent(tx, as_of, n, unit), hot_rows)
     before = F.col(TIME).isNull() | (F.col(TIME) < lower)
+    if history is not None:
+        return _numbered_from(tx, numbered, history, lower, accounts, hot_rows)
     history = (
         tx.filter(F.col(TIME).isNull() | (F.col(TIME) <= as_of)).groupBy(PHONE)
         .agg(F.count_if(before).alias("_earlier"), F.count_if(~before).alias("_rows"))
@@ -228,31 +232,43 @@ def recent_sequenced(tx: DataFrame, as_of: Column, n: int, unit: str, accounts:
     )
 
 
+def _numbered_from(tx: DataFrame, numbered: DataFrame, history: History, lower: Column, accounts: list[str] | None,
+                   hot_rows: int) -> DataFrame:
+    """Adds to the numbers of recent rows what the stored totals and the first day's earlier rows count."""
+    first = tx.sparkSession.range(1).select(F.to_date(lower)).first()[0]
+    same_day = tx.filter((F.col("transaction_date") == F.lit(first)) & (F.col(TIME) < lower)).groupBy(PHONE).agg(F.count("*").alias("rows"))
+    now = numbered.groupBy(PHONE).agg(F.count("*").alias("_rows")).withColumnRenamed(PHONE, "_phone")
+    earlier = history.before(first).unionByName(same_day).groupBy(PHONE).agg(F.sum("rows").alias("_earlier"))
+    known = now.join(earlier, F.col("_phone").eqNullSafe(F.col(PHONE)), "left").select(F.col("_phone").alias(PHONE), "_earlier", "_rows")
+    rows = profile_join(numbered, known, [PHONE], "_rows", "transaction_id", hot_rows)
+    return rows.withColumn(SEQUENCE, F.col(SEQUENCE) + F.coalesce("_earlier", F.lit(0))).drop("_earlier", "_rows").filter(P.account_filter(accounts))
+
+
 def with_risk(sequenced):
     return sequenced.withColumn("risk_bucket", P.risk_bucket())
 
 
-def risk_exposure(tx, as_of, accounts=None, hours=24):
-    return with_risk(recent_sequenced(tx, as_of, hours, "HOURS", accounts)).filter("risk_bucket <> 'normal'").agg(
+def risk_exposure(tx, as_of, accounts=None, hours=24, history=None):
+    return with_risk(recent_sequenced(tx, as_of, hours, "HOURS", accounts, history=history)).filter("risk_bucket <> 'normal'").agg(
         total().alias("value")
     )
 
 
-def risk_mix(tx, as_of, accounts=None, hours=24):
-    return with_risk(recent_sequenced(tx, as_of, hours, "HOURS", accounts)).groupBy("risk_bucket").agg(
+def risk_mix(tx, as_of, accounts=None, hours=24, history=None):
+    return with_risk(recent_sequenced(tx, as_of, hours, "HOURS", accounts, history=history)).groupBy("risk_bucket").agg(
         F.count("*").alias("events")
     )
 
 
-def risk_over_time(tx, as_of, accounts=None, hours=24):
-    rows = with_risk(recent_sequenced(tx, as_of, hours, "HOURS", accounts))
+def risk_over_time(tx, as_of, accounts=None, hours=24, history=None):
+    rows = with_risk(recent_sequenced(tx, as_of, hours, "HOURS", accounts, history=history))
     return rows.groupBy(P.trunc_ts("hour", TIME).alias("time")).agg(
         *[F.count_if(F.col("risk_bucket") == b).alias(b) for b in ("critical", "elevated", "velocity")]
     )
 
 
-def risk_review_list(tx, as_of, accounts=None, days=7, limit=50):
-    rows = with_risk(recent_sequenced(tx, as_of, days, "DAYS", accounts)).filter("risk_bucket <> 'normal'")
+def risk_review_list(tx, as_of, accounts=None, days=7, limit=50, history=None):
+    rows = with_risk(recent_sequenced(tx, as_of, days, "DAYS", accounts, history=history)).filter("risk_bucket <> 'normal'")
     return (
         rows.groupBy(PHONE).agg(
             F.count("*").alias("events"),

@@ -113,30 +113,32 @@ UNIQUE = {
 ACCEPTED = {"stg_c2b_transactions": {"amount_category": ["low", "medium", "high"]}}
 
 
+def _findings(name: str, df: DataFrame) -> DataFrame:
+    """All tests of one model from one scan and one exchange: rows become (check, value) pairs, only where a
+    test needs them, and the pairs are counted."""
+    pairs: dict[str, Column] = {}
+    fails: dict[str, Column] = {}
+
+    def pair(check: str, when: Column, value: Column, failed: Column) -> None:
+        pairs[check] = F.when(when, F.struct(F.lit(check).alias("check"), value.cast("string").alias("value")))
+        fails[check] = F.coalesce(F.sum(F.when(F.col("check") == check, failed)), F.lit(0)).cast("bigint")
+
+    for c in NOT_NULL.get(name, []):
+        pair(f"{c}:not_null", F.col(c).isNull(), F.lit(None), F.col("n"))
+    for c in UNIQUE.get(name, []):
+        pair(f"{c}:unique", F.col(c).isNotNull(), F.col(c), (F.col("n") > 1).cast("bigint"))
+    for c, allowed in ACCEPTED.get(name, {}).items():
+        pair(f"{c}:accepted_values", ~F.col(c).isin(allowed), F.col(c), F.lit(1))
+    found = df.select(F.explode(F.filter(F.array(*pairs.values()), lambda p: p.isNotNull())).alias("p")).select("p.*")
+    counted = found.groupBy("check", "value").agg(F.count("*").alias("n"))
+    row = counted.agg(*[f.alias(k) for k, f in fails.items()])
+    return row.unpivot([], list(fails), "check", "failures").select(
+        F.lit(name).alias("model"), F.split("check", ":")[0].alias("column"), F.split("check", ":")[1].alias("test"), "failures")
+
+
 def model_tests(models: dict[str, DataFrame]) -> DataFrame:
     """(model, column, test, failures): null rows, repeated values, values outside the list."""
-    parts = []
-    for name, df in models.items():
-        checks: dict[str, Column] = {
-            f"{c}:not_null": F.count_if(F.col(c).isNull()) for c in NOT_NULL.get(name, [])
-        }
-        for c, allowed in ACCEPTED.get(name, {}).items():
-            checks[f"{c}:accepted_values"] = F.countDistinct(F.when(~F.col(c).isin(allowed), F.col(c)))
-        row = df.agg(*[v.alias(k) for k, v in checks.items()])
-        parts.append(
-            row.unpivot([], list(checks), "check", "failures").select(
-                F.lit(name).alias("model"), F.split("check", ":")[0].alias("column"),
-                F.split("check", ":")[1].alias("test"), "failures",
-            )
-        )
-        for c in UNIQUE.get(name, []):
-            repeated = df.filter(F.col(c).isNotNull()).groupBy(c).count().filter("count > 1")
-            parts.append(
-                repeated.agg(F.count("*").alias("failures")).select(
-                    F.lit(name).alias("model"), F.lit(c).alias("column"), F.lit("unique").alias("test"), "failures"
-                )
-            )
-    return reduce(DataFrame.unionByName, parts)
+    return reduce(DataFrame.unionByName, [_findings(name, df) for name, df in models.items()])
 
 
 def staging_checks(tx: DataFrame, as_of: Column) -> DataFrame:

@@ -1,7 +1,8 @@
 """Plans that stay balanced when one key holds a large share of the rows.
 
-A key is *crowded* above ``HOT_ROWS`` rows. There are at most ``rows / HOT_ROWS`` crowded keys,
-which is the size bound behind every ``broadcast`` here.
+A key is *crowded* above ``HOT_ROWS`` rows. Of these the ``MOST_HOT`` largest are treated apart, which is
+the size bound behind every ``broadcast`` here, whatever the input: any other key holds less than one
+``MOST_HOT``-th of all rows.
 """
 
 from __future__ import annotations
@@ -12,9 +13,18 @@ from operator import add, and_, or_
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import write_out
+
 HOT_ROWS = 2_000_000
+MOST_HOT = 20_000
 SALTS = 64
 SLOT_REACHES = 8
+SMALL, FINER = 1_000_000, 4096
+
+
+def _largest(counted: DataFrame, size: str, keys: list[str], hot_rows: int, most: int = MOST_HOT) -> DataFrame:
+    """The crowded keys' rows, at most ``most`` of them."""
+    return counted.filter(F.col(size) > hot_rows).orderBy(F.desc(size), *keys).limit(most)
 
 
 def profile_join(rows: DataFrame, profile: DataFrame, keys: list[str], size: str, spread: str,
@@ -26,12 +36,10 @@ def profile_join(rows: DataFrame, profile: DataFrame, keys: list[str], size: str
     profile differ only after its final aggregate, so the shuffle under it is computed once.
     """
     names = [c for c in profile.columns if c not in keys]
-    hot = profile.filter(F.col(size) > hot_rows).select(
-        *keys, *[F.col(c).alias(f"_hot_{c}") for c in names]
-    )
+    hot = _largest(profile, size, keys, hot_rows).select(*keys, *[F.col(c).alias(f"_hot_{c}") for c in names])
     # always 0, but not a literal: a constant would be folded out of the join key
     zero = F.pmod(F.xxhash64(*keys), F.lit(1))
-    cold = profile.filter(F.col(size) <= hot_rows).withColumn("_salt", zero.cast("bigint"))
+    cold = profile.withColumn("_salt", zero.cast("bigint"))  # rows of a hot key have another salt and don't meet theirs
     salted = rows.join(F.broadcast(hot), keys, "left").withColumn(
         "_salt",
         F.when(F.col(f"_hot_{size}").isNotNull(), F.pmod(F.xxhash64(spread), F.lit(SALTS)) + 1)
@@ -58,12 +66,16 @@ def ordered_sequence(df: DataFrame, keys: list[str], order: list[Column], levels
     sorted by ``levels``. Rows of a crowded key are numbered in pieces that agree in all levels; the
     number of a row is its number inside the piece plus the counts of the earlier pieces.
 
-    One lazy plan serves both cases: keys are counted, the rows of uncrowded ones get a plain window, and
-    the part for crowded keys reads nothing when there are none. Crowded rows are read twice, once for
-    their counts by all levels and once to be numbered.
+    The crowded keys are counted once, over the key columns alone, and written. Without any, one window does;
+    otherwise uncrowded rows get that window, and crowded rows are read twice, for their counts by all
+    levels and to be numbered.
     """
-    crowded_keys = F.broadcast(df.groupBy(*keys).count().filter(F.col("count") > hot_rows).select(*keys))
     number = F.row_number().over(Window.partitionBy(*keys).orderBy(*order)).cast("bigint")
+    counted = df.groupBy(*keys).count()
+    crowded_keys = write_out(_largest(counted, "count", keys, hot_rows).select(*keys), "crowded")
+    if crowded_keys.isEmpty():
+        return df.withColumn(out, number)
+    crowded_keys = F.broadcast(crowded_keys)
     plain = df.join(crowded_keys, same_keys(df, crowded_keys, keys), "left_anti").withColumn(out, number)
     hot = df.join(crowded_keys, same_keys(df, crowded_keys, keys), "left_semi")
     return plain.unionByName(_pieced_sequence(hot, keys, order, levels, out))
@@ -146,12 +158,51 @@ def top_rows(df: DataFrame, value: str, ties: list[str], k: int) -> DataFrame:
     return df.filter(bucket >= cutoff).orderBy(F.desc(value), *ties).limit(k)
 
 
-def exact_quantiles(df: DataFrame, value: str, probs: dict[str, float], by: list[str] | None = None) -> DataFrame:
+def _placed(counts: DataFrame, by: list[str]) -> DataFrame:
+    """Ranks of the distinct values of each bucket: ``_start`` (its first row's) and ``_end``."""
+    inside = Window.partitionBy(*by, "_bucket", "_before").orderBy("_v").rowsBetween(Window.unboundedPreceding, -1)
+    start = F.col("_before") + F.coalesce(F.sum("_n").over(inside), F.lit(0))
+    return counts.withColumn("_start", start).withColumn("_end", F.col("_start") + F.col("_n"))
+
+
+def _refined(rows: DataFrame, targets: DataFrame, by: list[str], ranks: list[Column], small: int) -> DataFrame:
+    """Distinct values with their counts, in buckets that hold a wanted rank and at most ``small`` values.
+
+    Buckets that are larger are cut into ``FINER`` ranges between their least and greatest value, again and
+    again: ranges are ordered like the values whatever the rounding, so the result stays exact. Only their
+    counts per range meet in one task.
+    """
+    counts = rows.join(targets.drop("_in_bucket"), [*by, "_bucket"]).groupBy(*by, "_bucket", "_v", "_before", "_total").agg(F.sum("_n").alias("_n"))
+    if targets.filter(F.col("_in_bucket") > small).isEmpty():  # so many rows hold at most as many values
+        return counts
+    counts, done = write_out(counts, "quantile-values"), []
+    group = [*by, "_bucket", "_before"]
+    while True:
+        sizes = counts.groupBy(*group).agg(F.count(F.lit(1)).alias("_values"), F.min("_v").alias("_low"), F.max("_v").alias("_high"))
+        large = sizes.filter(F.col("_values") > small)
+        met = counts.join(large.withColumnsRenamed({c: f"_of{c}" for c in group}), reduce(and_, [F.col(c).eqNullSafe(F.col(f"_of{c}")) for c in group]), "left")
+        done.append(met.filter("_values is null").select(*counts.columns))
+        if large.isEmpty():
+            return reduce(DataFrame.unionByName, done)
+        # subtraction and division by a positive width keep the order of the values
+        part = F.least(F.floor((F.col("_v") - F.col("_low")) / ((F.col("_high") - F.col("_low")) / FINER)), F.lit(FINER - 1)).cast("bigint")
+        cut = write_out(met.filter("_values is not null").select(*counts.columns, part.alias("_part")), "quantile-parts")
+        parts = cut.groupBy(*group, "_part", "_total").agg(F.sum("_n").alias("_in"))
+        start = F.col("_before") + F.coalesce(F.sum("_in").over(Window.partitionBy(*group).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+        parts = parts.withColumn("_start", start)
+        wanted = reduce(or_, [(r >= F.col("_start")) & (r < F.col("_start") + F.col("_in")) for r in ranks])
+        parts = parts.filter(wanted).select(*[F.col(c).alias(f"_of{c}") for c in [*group, "_part"]], "_start")
+        chosen = cut.join(parts, reduce(and_, [F.col(c).eqNullSafe(F.col(f"_of{c}")) for c in [*group, "_part"]]))
+        counts = write_out(chosen.select(*by, "_bucket", "_v", F.col("_start").alias("_before"), "_total", "_n"), "quantile-values")
+
+
+def exact_quantiles(df: DataFrame, value: str, probs: dict[str, float], by: list[str] | None = None, small: int = SMALL) -> DataFrame:
     """Exact interpolated quantiles without gathering the values of a group in one task.
 
     Rows are counted in coarse ordered buckets, and only the buckets that hold a wanted rank are
     looked at value by value. Over the whole frame the values themselves are never shuffled;
-    ``df`` is read twice. Per group the distinct values are counted once and shared.
+    ``df`` is read twice. Per group the distinct values are counted once and shared. A bucket of more than
+    ``small`` distinct values is refined first, so no task orders more than that.
     """
     by = by or []
     rows = (
@@ -181,16 +232,10 @@ def exact_quantiles(df: DataFrame, value: str, probs: dict[str, float], by: list
         lambda a, b: a | b,
         [(r >= F.col("_before")) & (r < F.col("_before") + F.col("_in_bucket")) for r in ranks],
     )
-    targets = histogram.filter(wanted).select(*by, "_bucket", "_before", "_total")
+    targets = histogram.filter(wanted).select(*by, "_bucket", "_before", "_total", "_in_bucket")
     if not by:
         targets = F.broadcast(targets)  # at most two buckets per probability
-    counts = rows.join(targets, by + ["_bucket"]).groupBy(*by, "_bucket", "_v", "_before", "_total").agg(
-        F.sum("_n").alias("_n")
-    )
-    inside = Window.partitionBy(*by, "_bucket").orderBy("_v").rowsBetween(Window.unboundedPreceding, -1)
-    values = counts.withColumn("_start", F.col("_before") + F.coalesce(F.sum("_n").over(inside), F.lit(0))).withColumn(
-        "_end", F.col("_start") + F.col("_n")
-    )
+    values = _placed(_refined(rows, targets, by, ranks, small), by)
 
     def at(rank: Column) -> Column:
         return F.max(F.when((rank >= F.col("_start")) & (rank < F.col("_end")), F.col("_v")))
