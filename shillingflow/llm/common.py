@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+import ctypes
 import math
+from collections.abc import Callable, Iterator
+
+import pyarrow as pa
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import write_out
+from .hashing import SpanHasher
 
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -69,3 +74,43 @@ def short_list(ids: DataFrame, most: int = SHORT) -> DataFrame:
 
 def groups_for(rows: int, per_group: int, least: int = 1) -> int:
     return max(least, math.ceil(rows / per_group))
+
+
+def give_back() -> None:
+    """Returns what a worker's finished work has freed to the machine: workers are used again by later
+    stages, and freed memory would otherwise stay theirs."""
+    SpanHasher.shrink_all()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
+def released(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """``run`` over the batches of a task; the worker's memory is given back at its end."""
+    def wrapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            give_back()
+    return wrapped
+
+
+LARGE = 4 << 20  # bytes of a group above which its memory is given back
+
+
+def released_group(run: Callable[..., pa.Table]) -> Callable[..., pa.Table]:
+    """``run`` over a group, or two that belong together; see ``released``."""
+    def one(part: pa.Table) -> pa.Table:
+        out = run(part)
+        if part.nbytes > LARGE:
+            give_back()
+        return out
+
+    def two(left: pa.Table, right: pa.Table) -> pa.Table:
+        out = run(left, right)
+        if left.nbytes + right.nbytes > LARGE:
+            give_back()
+        return out
+
+    return one if run.__code__.co_argcount == 1 else two

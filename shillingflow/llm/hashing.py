@@ -23,11 +23,20 @@ class SpanHasher:
     """64-bit hashes of spans of a byte array: differences of one running polynomial sum."""
 
     BASE = 0x9E3779B97F4A7C15
+    _known: list[SpanHasher] = []
 
     def __init__(self) -> None:
+        self._known.append(self)
         self.letters = np.random.Generator(np.random.PCG64(11)).integers(1, 1 << 63, 256, dtype=np.uint64) | np.uint64(1)
         self.powers = self.inverse = np.ones(1, np.uint64)
 
+    @classmethod
+    def shrink_all(cls) -> None:
+        """Drops tables that a long buffer has left; they grow again when needed."""
+        for hasher in cls._known:
+            if len(hasher.powers) > 2 * PART:
+                hasher.powers = hasher.inverse = np.ones(1, np.uint64)
+
     def _grow(self, n: int) -> None:
         if len(self.powers) < n:
             step = np.full(n, self.BASE, np.uint64)

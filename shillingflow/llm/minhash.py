@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import write_out
-from .common import short_list
+from .common import released, released_group, short_list
 from .components import components
 from .hashing import mix, shingles, word_hashes
 
@@ -61,7 +61,7 @@ def signed(docs: DataFrame, words: int) -> DataFrame:
                     *[pa.array(np.array([d[k] for d in digest], np.uint64).view(np.int64)) for k in (0, 1)],
                     pa.array([signature(s).tobytes() if len(s) else b"" for s in sets], pa.binary())], ["doc_id", "n", "k1", "k2", "sig"])
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, SIGNED)
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(released(run), SIGNED)
 
 
 def _keys(sig: np.ndarray) -> np.ndarray:
@@ -85,7 +85,7 @@ def banded(classes: DataFrame) -> DataFrame:
                 band = np.tile(np.arange(key.shape[1], dtype=np.int32), len(key))
                 yield pa.RecordBatch.from_arrays([pa.array(key.ravel().view(np.int64)), pa.array(ids), pa.array(band)], ["key", "id", "band"])
 
-    return classes.select("id", "sig").mapInArrow(run, "key long, id long, band int")
+    return classes.select("id", "sig").mapInArrow(released(run), "key long, id long, band int")
 
 
 def buckets(bands: DataFrame) -> DataFrame:
@@ -159,7 +159,7 @@ def spanning(rows: DataFrame, percent: int) -> DataFrame:
         a, b = ids[found[:, 0]], ids[found[:, 1]]
         return pa.table({"a": np.minimum(a, b), "b": np.maximum(a, b)})
 
-    return rows.groupBy("key", "task").applyInArrow(run, "a long, b long").distinct()
+    return rows.groupBy("key", "task").applyInArrow(released_group(run), "a long, b long").distinct()
 
 
 def undecided(rows: DataFrame, percent: int) -> DataFrame:
@@ -175,7 +175,7 @@ def undecided(rows: DataFrame, percent: int) -> DataFrame:
                 open_[other] = True
         return part.filter(pa.array(open_))
 
-    return rows.groupBy("key", "task").applyInArrow(run, rows.schema)
+    return rows.groupBy("key", "task").applyInArrow(released_group(run), rows.schema)
 
 
 def settled(rows: DataFrame, words: int, percent: int) -> DataFrame:
@@ -195,7 +195,7 @@ def settled(rows: DataFrame, words: int, percent: int) -> DataFrame:
         links = np.array(links, np.int64).reshape(-1, 2)
         return pa.table({"a": links[:, 0], "b": links[:, 1]})
 
-    return rows.groupBy("key", "task").applyInArrow(run, "a long, b long").distinct()
+    return rows.groupBy("key", "task").applyInArrow(released_group(run), "a long, b long").distinct()
 
 
 def _linked(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
@@ -219,7 +219,7 @@ def confirmed(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> D
 
     left = pairs.join(texts.select(F.col("id").alias("a"), F.col("text").alias("text_a")), "a")
     met = left.join(texts.select(F.col("id").alias("b"), F.col("text").alias("text_b")), "b")
-    return met.select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long")
+    return met.select("a", "b", "text_a", "text_b").mapInArrow(released(run), "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, block: int = BLOCK) -> DataFrame:

@@ -17,7 +17,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import groups_for
+from .common import groups_for, released_group
 from .tokens import pack_ids, tokenize, unpack_ids
 
 CAPACITY = 2048
@@ -88,7 +88,7 @@ def pack(docs: DataFrame, capacity: int = CAPACITY, end_id: int | None = 0, voca
         part = part.drop_columns(["group"]).append_column("sequence_id", pa.array(sequence)).append_column("offset", pa.array(offset))
         return present(part) if present else part
 
-    return dealt.groupBy("group").applyInArrow(place, schema)
+    return dealt.groupBy("group").applyInArrow(released_group(place), schema)
 
 
 def op2(docs: DataFrame) -> DataFrame:

@@ -17,6 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import released
 from .hashing import SpanHasher
 
 VOCABULARY = "word_bpe_49k.json"
@@ -209,4 +210,4 @@ def tokenize(docs: DataFrame, vocab: str | None = None, end_id: int | None = Non
                 part = batch.slice(lo, 500)
                 yield present(part.column("doc_id"), [np.append(x, tail).astype(np.uint32) for x in enc.encode(part.column("text").to_pylist())])
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, schema)
+    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(released(run), schema)
