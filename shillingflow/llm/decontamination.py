@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import write_out
-from .common import groups_for
+from .common import groups_for, short_list
 
 WINDOW = 10
 SEGMENT = 1000  # windows of a long item that are dealt together
@@ -33,6 +33,7 @@ PART = 1 << 22  # bytes of a text that are scanned at a time
 #: ASCII other than digits and letters separates words; bytes beyond ASCII belong to words.
 PLAIN = bytes(b + 32 if 65 <= b <= 90 else b if b >= 128 or 48 <= b <= 57 or 97 <= b <= 122 else 32 for b in range(256))
 MISS = "\x00\x00"
+SETS = 100_000  # sets of items that are sent to all tasks, with two digests each
 
 
 # ---- items
@@ -241,13 +242,15 @@ def report(found: DataFrame, members: DataFrame) -> DataFrame:
     """``doc_id, n_words, n_hit, n_items, items_sha256, contaminated`` and ``spans``. The list of items is
     made once for each set of classes that some document holds."""
     key = F.sha2(F.array_join(F.transform("classes", lambda c: F.hex(c)), ","), 256)
-    found = found.withColumn("held", key)
-    sets = found.filter("size(classes) > 0").groupBy("held").agg(F.first("classes").alias("classes"))
+    hit = F.aggregate("spans", F.lit(0).cast("long"), lambda a, s: a + s["words"])
+    found = found.withColumn("held", key).withColumn("n_hit", hit)
+    some, none = found.filter("size(classes) > 0"), found.filter("size(classes) = 0")  # most texts hold nothing and meet no one
+    sets = some.groupBy("held").agg(F.first("classes").alias("classes"))
     listed = sets.select("held", F.explode("classes").alias("class")).join(members, "class").groupBy("held").agg(
         F.array_sort(F.collect_set("item_id")).alias("ids"))
     listed = listed.select("held", F.size("ids").cast("long").alias("n_items"), F.sha2(F.concat_ws(",", "ids"), 256).alias("items_sha256"))
-    hit = F.aggregate("spans", F.lit(0).cast("long"), lambda a, s: a + s["words"])
-    out = found.withColumn("n_hit", hit).join(listed, "held", "left")
+    listed = short_list(write_out(listed, "item-lists"), SETS)
+    out = some.join(listed, "held", "left").unionByName(none, allowMissingColumns=True)
     return out.select("doc_id", "n_words", "n_hit", F.coalesce("n_items", F.lit(0).cast("long")).alias("n_items"),
                       F.coalesce("items_sha256", F.sha2(F.lit(""), 256)).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"), "spans")
 
