@@ -24,8 +24,12 @@ ORDER = {"events": "ts", "orders": "o_orderdate"}
 BATCHES = 3
 
 
-def source(d, table):
-    """A table as a file stream of several micro-batches, oldest rows first; rows without a time come first.
+_PREPARED: dict[tuple[str, str, str], tuple[str, int]] = {}  # by application, folder and table
+
+
+def prepared(d, table) -> tuple[str, int]:
+    """A table's rows in as many parts as a stream has micro-batches, oldest rows first; rows without a time
+    come first. Returns the folder and the files of a part.
 
     The parts are written one after the other, since files are read in the order of their times. Every
     part has as many files as a batch reads, more of them for larger tables: what a small part lacks
@@ -40,6 +44,16 @@ def source(d, table):
         written = len(d.spark.read.schema(rows.schema).parquet(f"{path}/{n}").inputFiles())
         for k in range(written, files):
             rows.limit(0).coalesce(1).write.parquet(f"{path}/{n}/empty-{k}")
+    return path, files
+
+
+def source(d, table):
+    """A table as a file stream of several micro-batches. The parts of a folder's table are prepared by the
+    application's first stream over it; the tables are not written to meanwhile."""
+    key = (d.spark.sparkContext.applicationId, getattr(d, "folder", None), table)
+    if key[1] is None or key not in _PREPARED:
+        _PREPARED[key] = prepared(d, table)
+    path, files = _PREPARED[key]
     return (
         d.spark.readStream.schema(data.LAYOUTS[table]).option("maxFilesPerTrigger", files)
         .option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").parquet(path)
