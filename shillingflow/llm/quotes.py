@@ -2,8 +2,9 @@
 
 Quoted lines begin with ``>`` marks, one per level of nesting. A run of lines of one level is a
 passage. Passages are normalised (case, white space), hashed, and joined to the first message of
-the conversation that wrote those words itself. That message is what the quoting one replies to;
-quotes and the lines that announce them are left out of the text.
+the conversation that wrote those words itself: as a whole text, paragraph or line, else as runs of
+words, which also meet a quote that was cut out of a line or wrapped anew. That message is what the
+quoting one replies to; quotes and the lines that announce them are left out of the text.
 
 Everything is column expressions, joins and grouped aggregates.
 """
@@ -25,12 +26,26 @@ ANNOUNCED = (
     r"^El .+ escribió:$",
 )
 QUOTES = r"(?m)^[ \t]*>"
+RUN, LEAST_RUN = 5, 3  # words of a run; a passage of fewer words is one run, below LEAST_RUN it has none
 
 
 def _normal(text: Column) -> Column:
     return F.trim(F.regexp_replace(F.lower(text), r"[\s\x{A0}]+", " "))
 
 
+def _words(text: Column) -> Column:
+    """Letters and digits only, so marks at a cut do not matter."""
+    return F.filter(F.split(F.regexp_replace(F.lower(text), r"[^\p{L}\p{N}]+", " "), " "), lambda x: x != "")
+
+
+def _run_keys(words: Column, length: Column) -> Column:
+    """Hashes of all runs of ``length`` words. The words are bound once, not computed again for every run."""
+    def runs(held: Column) -> Column:
+        starts = F.when(F.size(held) >= length, F.sequence(F.lit(1), F.size(held) - length + 1)).otherwise(F.array().cast("array<int>"))
+        return F.array_distinct(F.transform(starts, lambda i: F.xxhash64(F.slice(held, i, length))))
+    return F.flatten(F.transform(F.array(words), runs))
+
+
 def _lines(text: Column) -> Column:
     """Lines as (level, body): the number of leading marks, and what follows them."""
     def one(line: Column) -> Column:
@@ -61,7 +76,8 @@ def parsed(messages: DataFrame) -> DataFrame:
 
 
 def passages(quoting: DataFrame) -> DataFrame:
-    """The quoted lines that hold words, with their level, their passage's number and the keys of both.
+    """The quoted passages that hold words, with their level and number and the keys of the passage, its lines
+    and its runs of ``run`` words (0: too short for one).
 
     A passage ends where the level changes; its blank lines belong to it but have no key of their own.
     Windows and lists reach over one message only."""
@@ -74,8 +90,11 @@ def passages(quoting: DataFrame) -> DataFrame:
     whole = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("at", "body"))), lambda x: x["body"]), " ")
     grouped = lines.groupBy(*ids, "number", "level").agg(whole.alias("whole"), F.collect_list("body").alias("bodies"))
     keys = F.array_distinct(F.filter(F.transform("bodies", _normal), lambda x: x != ""))
-    return grouped.withColumn("whole", _normal(F.col("whole"))).filter("whole <> ''").select(
-        *ids, "number", "level", F.xxhash64("whole").alias("whole_key"), F.transform(keys, lambda x: F.xxhash64(x)).alias("line_keys"))
+    grouped = grouped.withColumn("words", _words(F.col("whole"))).withColumn("whole", _normal(F.col("whole"))).filter("whole <> ''")
+    run = F.when(F.size("words") < LEAST_RUN, 0).otherwise(F.least(F.size("words"), F.lit(RUN)))
+    return grouped.select(
+        *ids, "number", "level", F.xxhash64("whole").alias("whole_key"), F.transform(keys, lambda x: F.xxhash64(x)).alias("line_keys"),
+        run.alias("run"), F.when(run > 0, _run_keys(F.col("words"), run)).otherwise(F.array().cast("array<bigint>")).alias("run_keys"))
 
 
 def first_writers(contents: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -88,14 +107,38 @@ def first_writers(contents: DataFrame, wanted: DataFrame) -> DataFrame:
     return held.groupBy("conv_id", "key").agg(F.min("turn").alias("writer"))
 
 
+def run_writers(contents: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The first message of a conversation that holds a wanted run of words (``conv_id, run, key``). Only conversations
+    that ask for runs are read, and only runs of the lengths that they ask for."""
+    lengths = wanted.groupBy("conv_id").agg(F.collect_set("run").alias("lengths"))  # at most RUN - LEAST_RUN + 1 values
+    asked = contents.join(lengths, "conv_id").select("conv_id", "turn", "lengths", _words(F.col("content")).alias("words"))
+    keyed = asked.select("conv_id", "turn", "words", F.explode("lengths").alias("run")).select(
+        "conv_id", "turn", F.explode(_run_keys(F.col("words"), F.col("run"))).alias("key"))
+    held = keyed.join(wanted.select("conv_id", "key"), ["conv_id", "key"], "left_semi")
+    return held.groupBy("conv_id", "key").agg(F.min("turn").alias("writer"))
+
+
 def links(quoted: DataFrame, contents: DataFrame) -> DataFrame:
-    """Per passage the message that wrote it: the one with the whole passage, else the latest first writer of its lines."""
+    """Per passage the message that wrote it: the first that holds the whole passage; else the one by which all its
+    runs of words had been written, counting each from its first writer; else the latest first writer of its lines;
+    else that of its runs, if at least half of them were written before. No pairs of messages are made."""
     ids = ["conv_id", "turn", "text_hash", "number", "level"]
     keyed = quoted.select(*ids, F.explode(F.concat(F.array(F.struct(F.lit(True).alias("whole"), F.col("whole_key").alias("key"))), F.transform(
         "line_keys", lambda k: F.struct(F.lit(False).alias("whole"), k.alias("key"))))).alias("k")).select(*ids, "k.whole", "k.key")
     writers = first_writers(contents, keyed.select("conv_id", "key").distinct())
     met = keyed.join(writers, ["conv_id", "key"]).filter("writer < turn")
-    return met.groupBy(*ids).agg(F.coalesce(F.max(F.when(F.col("whole"), F.col("writer"))), F.max("writer")).alias("writer"))
+    plain = met.groupBy(*ids).agg(F.max(F.when(F.col("whole"), F.col("writer"))).alias("whole"), F.max("writer").alias("line"))
+
+    found = quoted.join(plain.select(*ids, "whole", "line"), ids, "left")
+    open_ = write_out(found.filter("whole is null"), "open-passages")
+    runs = open_.filter("run > 0").select(*ids, "run", F.size("run_keys").alias("n"), F.explode("run_keys").alias("key"))
+    by_run = run_writers(contents, runs.select("conv_id", "run", "key").distinct())
+    known = runs.join(by_run, ["conv_id", "key"]).filter("writer < turn").groupBy(*ids).agg(
+        F.max("writer").alias("run_writer"), F.count(F.lit(1)).alias("held"), F.max("n").alias("n"))
+    rest = open_.join(known, ids, "left").select(*ids, F.coalesce(
+        F.when(F.col("held") == F.col("n"), F.col("run_writer")), F.col("line"),
+        F.when(2 * F.col("held") >= F.col("n"), F.col("run_writer"))).alias("writer"))
+    return found.filter("whole is not null").select(*ids, F.col("whole").alias("writer")).unionByName(rest.filter("writer is not null"))
 
 
 def replies(linked: DataFrame) -> DataFrame:

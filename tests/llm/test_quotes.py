@@ -1,5 +1,12 @@
+import random
+import re
+
+import pytest
+
 from shillingflow.llm import quotes
 
+from .helpers import prose
+
 SHAPE = "conv_id long, turn long, role string, text string"
 THREAD = [
     (1, 0, "user", "How do I boil an egg?\nAnd how long?"),
@@ -39,6 +46,58 @@ def test_long_chain_of_replies(spark):
     assert [got[7, i].depth for i in range(70)] == list(range(70)) and {r.thread_turn for r in got.values()} == {0}
 
 
+def test_quotes_cut_out_of_a_line_and_wrapped_anew(spark):
+    rows = [(1, 0, "user", "First sentence stands here. Second sentence follows it."), (1, 1, "user", "Something else was said here, too."),
+            (1, 2, "user", "> Second sentence follows it.\nYes."), (1, 3, "user", "> sentence stands here. Second\n> sentence follows\nNo."),
+            (1, 4, "user", "> follows it\nShort."), (1, 5, "user", "> else was said\nThree words."), (1, 6, "user", "> stands here, second [...] said to nobody at all\nNo.")]
+    got = by_turn(spark, rows)
+    assert [(got[1, t].n_linked, got[1, t].reply_turn) for t in range(2, 7)] == [(1, 0), (1, 0), (0, None), (1, 1), (0, None)]
+
+
+def plain_links(rows):
+    """Reply of each message by looking for the words of its quotes in every earlier message, one after the other."""
+    def words(text):
+        return " " + " ".join(re.findall(r"[^\W_]+", text.lower())) + " "
+
+    own = {(c, t): "\n".join(x for x in text.split("\n") if not x.startswith(">")) for c, t, _, text in rows}
+    out = {}
+    for c, t, _, text in rows:
+        passages, last = [], 0
+        for line in text.split("\n"):
+            marks = re.match(r"^(>[> ]*)?", line).group()
+            level = marks.count(">")
+            if level and level == last:
+                passages[-1][1] += " " + line[len(marks):]
+            elif level:
+                passages.append([level, line[len(marks):]])
+            last = level
+        linked = [(-level, next((u for u in range(t) if words(p) in words(own[c, u])), None)) for level, p in passages]
+        good = [x for x in linked if x[1] is not None]
+        out[c, t] = (len(passages), len(good), max(good)[1] if good else None)
+    return out
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_like_brute_force_over_generated_threads(spark, seed):
+    r, rows = random.Random(seed), []
+    for c in range(12):
+        said = []
+        for t in range(15):
+            mine = "\n".join(prose(r.randrange(10**9), r.randint(12, 30)) + "." for _ in range(r.randint(1, 3)))
+            text = mine
+            for _ in range(r.randint(0, 2) if said else 0):
+                of = r.choice(said + [prose(r.randrange(10**9), 20)]).split()  # some quote what nobody wrote
+                lo = r.randrange(len(of) - 8)
+                cut = of[lo:lo + r.randint(6, 25)]
+                marks, at = ">" * r.randint(1, 3) + " ", r.randint(1, len(cut))
+                text = "\n".join([marks + " ".join(x) for x in (cut[:at], cut[at:]) if x] + ["", text])
+            said.append(mine)
+            rows.append((c, t, "user", text))
+    want = plain_links(rows)
+    assert sum(n for _, n, _ in want.values()) > 80
+    assert {k: (x.n_quoted, x.n_linked, x.reply_turn) for k, x in by_turn(spark, rows).items()} == want
+
+
 def test_odd_rows(spark):
     rows = [(1, 0, None, None), (None, 0, "user", "> x"), (1, None, "user", "> x\ny"), (1, 1, "user", ""), (1, 1, "user", ""), (2, 0, "user", ">" * 5000),
             (3, 0, "user", "word " * 50_000), (3, 1, "user", "> " + "word " * 50_000), (4, 0, "user", "same"), (4, 0, "user", "same"), (4, 1, "user", "> same")]
