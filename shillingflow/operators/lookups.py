@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -69,13 +70,71 @@ def hourly_trend(tx: DataFrame, day: str) -> DataFrame:
     ).agg(F.count("*").alias("transaction_count"), F.sum(AMOUNT).cast("double").alias("total_amount"))
 
 
+SLICE = 100_000  # rows; a slice of the listing with more rows before its page is divided again
+#: Orders of ever finer slices, newest first; the last ones divide payments of one instant by their ids.
+NEWEST = [(lambda k=k: P.trunc_ts(k, "transaction_time"), True) for k in ("hour", "second")] + [(lambda: F.col("transaction_time"), True)]
+
+
+def _levels():
+    yield from NEWEST
+    n = 0
+    while True:
+        n += 2
+        yield (lambda n=n: F.substring("transaction_id", 1, n)), False
+
+
+def page_slices(kept: DataFrame, skip: int, take: int, most: int = SLICE) -> tuple[int, list[tuple[DataFrame, int, int]]]:
+    """The number of rows, and the slices that hold the page, newest first, each with the rows to skip and take in it.
+
+    Counts per hour find the hours of the page. Where more than ``most`` rows of its first slice come before the
+    page, counts per second, per instant and per leading part of the ids narrow that slice, so what is sorted for
+    a page never grows with its number. Equal rows cannot be told apart and end the search.
+    """
+    total, slices, part = None, [], kept
+    for level, falling in _levels():
+        key = level()
+        order = F.desc_nulls_last("_key") if falling else F.asc_nulls_first("_key")
+        counts = part.groupBy(key.alias("_key")).agg(F.count("*").alias("n"))
+        upto = F.sum("n").over(Window.orderBy(order).rowsBetween(Window.unboundedPreceding, 0))  # one row per slice
+        counts = counts.select("_key", "n", upto.alias("upto"), F.sum("n").over(Window.partitionBy()).alias("total"))
+        met = counts.filter((F.col("upto") > skip) & (F.col("upto") - F.col("n") < skip + take) | (F.col("upto") == F.col("total"))).orderBy("upto").collect()
+        if not met:
+            return total or 0, slices
+        if total is None:
+            total = met[0]["total"]
+        met = [r for r in met if r["upto"] > skip and r["upto"] - r["n"] < skip + take]  # at most one per row of the page
+        if not met:
+            return total, slices
+        first, later = met[0], met[1:]
+        here = min(take, first["upto"] - skip)
+        if later:
+            ends = [r["_key"] for r in later]
+            slices.insert(0, (part.filter(_within(part, key, falling, ends)), 0, take - here))
+        skip, take = skip - (first["upto"] - first["n"]), here
+        same = met[0]["n"] == met[0]["total"] and not falling and part.filter(key != F.col("transaction_id")).isEmpty()
+        part = part.filter(_within(part, key, falling, [first["_key"]]))
+        if skip <= most or same:
+            return total, [(part, skip, take), *slices]
+
+
+def _within(rows: DataFrame, key: Column, falling: bool, values: list) -> Column:
+    """Rows of the given neighbouring slices; the stored date is named too, so that only its partitions are read."""
+    told = [v for v in values if v is not None]
+    inside = key.isNull() if len(told) < len(values) else F.lit(False)
+    if told:
+        inside = inside | key.between(F.lit(min(told)), F.lit(max(told)))
+        if falling and len(told) == len(values):
+            inside = inside & P.day_of(rows).between(F.to_date(F.lit(min(told))), F.to_date(F.lit(max(told))))
+    return inside
+
+
 def list_transactions(payments: DataFrame, phone: str | None = None, status: str | None = None,
                       start_date: str | None = None, end_date: str | None = None,
                       min_amount: float | None = None, max_amount: float | None = None,
-                      page: int = 1, limit: int = 50) -> DataFrame:
+                      page: int = 1, limit: int = 50, most: int = SLICE) -> DataFrame:
     """One page, newest first, with the total and the number of pages on each row.
 
-    The page is the tail of a bounded top-k, so no rank over the whole result is needed.
+    Only the slices that hold the page are sorted, whatever its number (see ``page_slices``).
     """
     if not 1 <= limit <= 1000 or page < 1:
         raise ValueError("limit must be 1 to 1000 and page at least 1")
@@ -92,13 +151,14 @@ def list_transactions(payments: DataFrame, phone: str | None = None, status: str
         kept = kept.filter(F.col("amount") >= F.lit(str(min_amount)).cast("decimal(12,2)"))
     if max_amount is not None:
         kept = kept.filter(F.col("amount") <= F.lit(str(max_amount)).cast("decimal(12,2)"))
-    rows = kept.agg(F.count("*")).scalar()
-    return (
-        kept.orderBy(F.desc("transaction_time"), "transaction_id").offset((page - 1) * limit).limit(limit)
-        .select("transaction_id", F.col("amount").cast("double").alias("amount"), "phone_number",
-                "transaction_time", "transaction_status",
-                rows.alias("total"), F.ceil(rows / limit).cast("bigint").alias("pages"))
-    )
+    newest = [F.desc("transaction_time"), F.asc("transaction_id")]
+    total, slices = page_slices(kept, (page - 1) * limit, limit, most)
+    parts = [part.orderBy(*newest).offset(skip).limit(take) for part, skip, take in slices]
+    rows = reduce(DataFrame.unionByName, parts) if parts else kept.limit(0)
+    return rows.orderBy(*newest).select(
+        "transaction_id", F.col("amount").cast("double").alias("amount"), "phone_number",
+        "transaction_time", "transaction_status",
+        F.lit(total).cast("bigint").alias("total"), F.lit(-(-total // limit)).cast("bigint").alias("pages"))
 
 
 def customer_history(tx: DataFrame, phone: str, limit: int = 50, names: DataFrame | None = None) -> DataFrame:
