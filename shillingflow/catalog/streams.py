@@ -1,5 +1,6 @@
 """Streaming operators run over the given files, compared with their batch twins."""
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions import payments as P
@@ -20,7 +21,7 @@ def q(key, build, sql=None):
     query(key, sql)(build)
 
 
-ORDER = {"events": "ts", "orders": "o_orderdate"}
+ORDER = {"events": "ts", "orders": "o_orderdate", "lineitem": "l_shipdate"}
 BATCHES = 3
 
 
@@ -47,10 +48,19 @@ def prepared(d, table) -> tuple[str, int]:
     return path, files
 
 
+def _prepared_key(d, table) -> tuple[str, str, str]:
+    return d.spark.sparkContext.applicationId, getattr(d, "folder", None), table
+
+
+def prepared_path(d, table) -> str:
+    """The folder that ``source`` streams for a table of a folder."""
+    return _PREPARED[_prepared_key(d, table)][0]
+
+
 def source(d, table):
     """A table as a file stream of several micro-batches. The parts of a folder's table are prepared by the
     application's first stream over it; the tables are not written to meanwhile."""
-    key = (d.spark.sparkContext.applicationId, getattr(d, "folder", None), table)
+    key = _prepared_key(d, table)
     if key[1] is None or key not in _PREPARED:
         _PREPARED[key] = prepared(d, table)
     path, files = _PREPARED[key]
@@ -244,3 +254,17 @@ def _lag(d):
 
 
 q("stream_lag", _lag, f"SELECT false AS lag_alert, {BATCHES}::BIGINT AS batches, count(*) AS input_rows FROM stream_events")
+
+
+def _file_lag(d):
+    """Backlog of a file stream over all rows of a table after each batch, from its checkpoint."""
+    checkpoint = shared_dir(d.spark, "file-lag")
+    run_available(source(d, "lineitem").select("l_orderkey"), lambda df, n: write_batch(df, f"{checkpoint}-out", n), checkpoint)
+    lags = G.file_lag(d.spark, prepared_path(d, "lineitem"), checkpoint)
+    read = F.sum("input_rows").over(Window.orderBy("batch_id").rowsBetween(Window.unboundedPreceding, 0))  # one row per batch
+    return lags.select("batch_id", (read + F.col("lag")).alias("arrived"), "lag_alert")
+
+
+q("stream_file_lag", _file_lag, f"""
+SELECT CAST(i AS BIGINT) AS batch_id, n AS arrived, n * ({BATCHES} - 1 - i) / {BATCHES} > {G.MAX_LAG} AS lag_alert
+FROM (SELECT count(*) AS n FROM lineitem) t, range({BATCHES}) r(i)""")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import hashlib
 
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 from .payments import col
@@ -20,6 +20,24 @@ REDACTIONS = [
 ]
 
 
+#: Runtime setting of the engine and its value: what plans, event logs and explain() show of keys. HMAC pads are binary
+#: literals of 64 bytes; the arguments of AES calls are hidden to the end of their line.
+PLAN_REDACTION = ("spark.sql.redaction.string.regex", r"(?i)(?:0x|X')[0-9a-f]{128}'?|aes_?(?:en|de)crypt[^\n]*")
+
+
+def hide_keys() -> None:
+    """Hides keys in the plans of the active session; a setting of one's own is kept and joined to it."""
+    spark = SparkSession.getActiveSession()
+    if spark is None:
+        return
+    name, pattern = PLAN_REDACTION
+    own = spark.conf.get(name, None)
+    if not own:
+        spark.conf.set(name, pattern)
+    elif pattern not in own:
+        spark.conf.set(name, f"{own}|{pattern}")
+
+
 def redact_text(c) -> Column:
     text = col(c)
     for pattern, replacement in REDACTIONS:
@@ -42,6 +60,7 @@ def _pads(secret: str) -> tuple[bytes, bytes]:
 
 def hmac_sha256(message, secret: str) -> Column:
     """Hex HMAC-SHA256 built from two ``sha2`` calls, so it stays inside codegen."""
+    hide_keys()
     inner, outer = _pads(secret)
     digest = F.sha2(F.concat(F.lit(inner), F.to_binary(col(message), F.lit("utf-8"))), 256)
     return F.sha2(F.concat(F.lit(outer), F.unhex(digest)), 256)
@@ -64,10 +83,12 @@ def encrypt_field(c, key: str) -> Column:
     """AES-GCM with a random nonce, base64 text. ``key`` must be 16, 24 or 32 bytes."""
     if len(key.encode()) not in (16, 24, 32):
         raise ValueError("the field key must be 16, 24 or 32 bytes")
+    hide_keys()
     return F.base64(F.aes_encrypt(col(c), F.lit(key)))
 
 
 def decrypt_field(c, key: str) -> Column:
     """Null when the text was not produced with ``key``."""
+    hide_keys()
     cipher = F.try_to_binary(col(c), F.lit("base64"))
     return F.try_aes_decrypt(cipher, F.lit(key)).cast("string")

@@ -20,6 +20,7 @@ LAYOUTS = {
     "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
               "o_orderdate timestamp_ntz, o_orderpriority string",
     "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+    "lineitem": "l_orderkey bigint, l_linenumber int, l_quantity double, l_extendedprice double, l_shipdate timestamp_ntz",
     "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
 }
 
