@@ -8,7 +8,7 @@ from ..operators import health as H
 from ..operators import lookups as L
 from ..operators import risk as R
 from ..operators.ml import ensemble, features, store
-from .base import query
+from .base import CATALOG, query
 
 NOW = "(SELECT as_of FROM clock)"
 RAW_NOW = "(SELECT as_of FROM raw_clock)"
@@ -260,6 +260,37 @@ SELECT count(*) FILTER (z > 2.5) AS total_anomalies, {r2('count(*) FILTER (z > 2
   count(*) FILTER (z > 2.5 AND amount > mean_amount) AS high, count(*) FILTER (z > 2.5 AND amount < mean_amount) AS low
 FROM {Z}""")
 
+# -- the whole report, with segments that are given
+
+REPORT = [
+    ("segmentation", "segment_name", "segment_stats_given", ["customers", "mean_count", "mean_total", "median_total", "std_total", "mean_avg", "mean_score"]),
+    ("behaviour", "'hour_' || hour_of_day", "peak_hours", ["transaction_count", "avg_transaction_per_hour"]),
+    ("behaviour", "'day_' || day_of_week", "daily_pattern", ["transaction_count", "total_amount", "unique_customers"]),
+    ("anomalies", "'all'", "zscore_summary", ["total_anomalies", "anomaly_percentage", "high", "low"]),
+    ("forecast", "'all'", "trend_forecast", ["current_trend", "next_day_forecast", "recent_average", "forecast_confidence", "ma_7", "ma_14"]),
+    ("regions", "region", "regional_analysis", [
+        "transaction_count", "total_amount", "avg_amount", "unique_customers", "transaction_percentage", "volume_percentage", "volume_rank"]),
+]
+REPORT_SQL = "\nUNION ALL ".join(
+    f"SELECT '{section}' AS section, {label} || '.{m}' AS metric, TRY_CAST({m} AS DOUBLE) AS number, "
+    f"CASE WHEN TRY_CAST({m} AS DOUBLE) IS NULL THEN CAST({m} AS VARCHAR) END AS text FROM r_{key}"
+    for section, label, key, metrics in REPORT for m in metrics)
+
+
+def _report(d):
+    segmented = A.customer_day_metrics(d.payments, d.as_of, days=3650).withColumn("segment_name", F.expr(BAND))
+    number = F.col("value").try_cast("double")
+    return A.analytics_report(d.payments, d.regional, lambda: d.as_of, segmented, {"behaviour": 90, "anomalies": 3650, "regions": 90}).select(
+        "section", "metric", number.alias("number"), F.when(number.isNull(), F.col("value")).alias("text"))
+
+
+REPORT_PARTS = ",\n".join(f"r_{key} AS ({CATALOG[key].sql})" for _, _, key, _ in REPORT)
+q("analytics_report_given", _report, f"""WITH {REPORT_PARTS}
+{REPORT_SQL}
+UNION ALL SELECT 'report', 'all.as_of', NULL, strftime((SELECT as_of FROM clock), '%Y-%m-%d %H:%M:%S')
+UNION ALL SELECT 'regions', 'all.top_region', NULL, region FROM r_regional_analysis WHERE volume_rank = 1
+UNION ALL SELECT 'regions', 'all.regional_variance', regional_variance, NULL FROM r_regional_analysis WHERE volume_rank = 1""")
+
 # -- stream twins and alerts ---------------------------------------------------------------
 
 

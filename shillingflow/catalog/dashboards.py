@@ -4,7 +4,8 @@ from pyspark.sql import functions as F
 
 from ..operators import dashboards as D
 from ..operators import lookups
-from ..session import shared_dir
+from ..session import shared_dir, write_out
+from ..sources import warehouse
 from ..sources.history import History
 from .base import query
 
@@ -163,8 +164,15 @@ panel("dq_missing_phone", lambda d: D.missing_text(d.stg_raw, "phone_number"),
 panel("dq_invalid_amount", lambda d: D.invalid_amount(d.stg_raw),
       """SELECT count(*) AS value FROM stg_raw WHERE TRY_CAST(amount AS DECIMAL(12,2)) IS NULL
       OR TRY_CAST(amount AS DECIMAL(12,2)) < 0""")
-panel("dq_model_freshness",
-      lambda d: D.model_freshness(d.hourly.withColumn("created_at", d.raw_as_of), d.fixed_clock),
+
+
+def _freshness(d):
+    """The build time that the mart was stored with."""
+    built = warehouse.build_models(d.raw_feed, d.raw_as_of)["mart_hourly_volumes"]
+    return D.model_freshness(write_out(built, "hourly-mart"), d.fixed_clock)
+
+
+panel("dq_model_freshness", _freshness,
       f"""SELECT coalesce(CAST(epoch({RAW_CLOCK}) - epoch(max(created_at)) AS DOUBLE) / 60, 0) AS value
       FROM (SELECT (SELECT max(received_at) FROM raw_feed) AS created_at FROM hourly) h""")
 for _key, _days in (("dq_raw_vs_staged", 90), ("raw_vs_staged_hourly", 3000)):

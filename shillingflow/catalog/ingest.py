@@ -2,11 +2,13 @@
 
 from pyspark.sql import functions as F
 
+from .. import schemas
 from ..functions import payments as P
 from ..functions import security as S
 from ..functions import validation as V
 from ..operators import ingest, quality, stk
-from ..sources import landing
+from ..session import shared_dir
+from ..sources import files, landing
 from .base import query
 
 STD = r"""regexp_replace(regexp_replace(trim("MSISDN"), '^\+', ''), '^0', '254')"""
@@ -27,6 +29,21 @@ SELECT 'c2b_confirmation' AS event_type, "TransID" AS transaction_id, "MSISDN" A
   "TransAmount" AS amount, coalesce(nullif("AccountReference", ''), "BillRefNumber") AS account_reference,
   "TransTime" AS transaction_time, 'daraja_webhook' AS source FROM callbacks""")
 
+CALLBACK_FIELDS = schemas.CALLBACK.fieldNames()
+ROWS_PER_FILE = 5_000
+
+
+def _from_files(d):
+    """Callbacks written as files of JSON arrays and read again, every field as text."""
+    path, sent = shared_dir(d.spark, "json-callbacks"), d.callbacks.select([c for c in d.callbacks.columns if c in CALLBACK_FIELDS])
+    files.write_json_arrays(sent, path, max(1, -(-sent.count() // ROWS_PER_FILE)))
+    return files.json_callbacks(d.spark, path).select(*sent.columns)
+
+
+q("json_file_source", _from_files, """
+SELECT "TransactionType", "TransID", "TransTime", "TransAmount", "BusinessShortCode", "BillRefNumber",
+  "InvoiceNumber", "MSISDN", "AccountReference", "FirstName", "MiddleName", "LastName" FROM callbacks""")
+
 q("legacy_coerce", lambda d: ingest.legacy_coerce(d.legacy_events), """
 SELECT CASE WHEN event_type = 'c2b_transaction' THEN 'c2b_confirmation' ELSE event_type END AS event_type,
   transaction_id, phone_number, CAST(amount AS VARCHAR) AS amount, transaction_time, received_at FROM legacy_events""")

@@ -220,8 +220,14 @@ def regional_analysis(payments: DataFrame, as_of: Column, days: int = 30) -> Dat
     )
 
 
-def analytics_report(payments: DataFrame, regional: DataFrame, as_of, segmented: DataFrame) -> DataFrame:
-    """All analyses as (section, metric, value) rows."""
+#: Days that each section of the report looks back.
+REPORT_DAYS = {"behaviour": 7, "anomalies": 30, "forecast": 90, "regions": 30}
+
+
+def analytics_report(payments: DataFrame, regional: DataFrame, as_of, segmented: DataFrame, days: dict[str, int] | None = None) -> DataFrame:
+    """All analyses as (section, metric, value) rows, with the time that the report is for."""
+    days = REPORT_DAYS | (days or {})
+
     def rows(df: DataFrame, section: str, label: Column, metrics: list[str]) -> DataFrame:
         pairs = F.explode(F.map_from_arrays(
             F.array(*[F.concat_ws(".", label, F.lit(m)) for m in metrics]),
@@ -229,15 +235,24 @@ def analytics_report(payments: DataFrame, regional: DataFrame, as_of, segmented:
         ))
         return df.select(F.lit(section).alias("section"), pairs.alias("metric", "value"))
 
+    regions = regional_analysis(regional, as_of(), days["regions"])
+    top = regions.filter("volume_rank = 1").select(F.col("region").alias("top_region"), "regional_variance")
+    when = payments.sparkSession.range(1).select(F.date_format(as_of(), "yyyy-MM-dd HH:mm:ss").alias("as_of"))
     parts = [
-        rows(segment_stats(segmented), "segmentation", F.col("segment_name"), ["customers", "mean_total", "mean_score"]),
-        rows(peak_hours(payments, as_of()), "behaviour", F.concat(F.lit("hour_"), "hour_of_day"), ["transaction_count"]),
-        rows(daily_pattern(payments, as_of()), "behaviour", F.concat(F.lit("day_"), "day_of_week"),
+        rows(when, "report", F.lit("all"), ["as_of"]),
+        rows(segment_stats(segmented), "segmentation", F.col("segment_name"),
+             ["customers", "mean_count", "mean_total", "median_total", "std_total", "mean_avg", "mean_score"]),
+        rows(peak_hours(payments, as_of(), days["behaviour"]), "behaviour", F.concat(F.lit("hour_"), "hour_of_day"),
+             ["transaction_count", "avg_transaction_per_hour"]),
+        rows(daily_pattern(payments, as_of(), days["behaviour"]), "behaviour", F.concat(F.lit("day_"), "day_of_week"),
              ["transaction_count", "total_amount", "unique_customers"]),
-        rows(zscore_summary(payments, as_of()), "anomalies", F.lit("all"), ["total_anomalies", "high", "low"]),
-        rows(trend_forecast(payments, as_of()), "forecast", F.lit("all"),
-             ["current_trend", "next_day_forecast", "recent_average"]),
-        rows(regional_analysis(regional, as_of()), "regions", F.col("region"), ["transaction_count", "total_amount"]),
+        rows(zscore_summary(payments, as_of(), days["anomalies"]), "anomalies", F.lit("all"),
+             ["total_anomalies", "anomaly_percentage", "high", "low"]),
+        rows(trend_forecast(payments, as_of(), days["forecast"]), "forecast", F.lit("all"),
+             ["current_trend", "next_day_forecast", "recent_average", "forecast_confidence", "ma_7", "ma_14"]),
+        rows(regions, "regions", F.col("region"),
+             ["transaction_count", "total_amount", "avg_amount", "unique_customers", "transaction_percentage", "volume_percentage", "volume_rank"]),
+        rows(top, "regions", F.lit("all"), ["top_region", "regional_variance"]),
     ]
     report = parts[0]
     for part in parts[1:]:

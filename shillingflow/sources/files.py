@@ -14,6 +14,14 @@ def json_callbacks(spark: SparkSession, path: str, multiline: bool = True) -> Da
     return spark.read.schema(schemas.CALLBACK).option("multiLine", multiline).json(path)
 
 
+def write_json_arrays(df: DataFrame, path: str, files: int) -> None:
+    """Files that hold one array of objects each, as callbacks are handed over; rows are dealt in turn.
+    The readers take such a file as one piece, so ``files`` should grow with the rows; a null field is left out."""
+    rows = df.select(F.to_json(F.struct("*")).alias("row"))
+    dealt = rows.groupBy(F.pmod(F.monotonically_increasing_id(), F.lit(files)).alias("file")).agg(F.collect_list("row").alias("rows"))
+    dealt.select(F.concat(F.lit("[\n"), F.array_join("rows", ",\n"), F.lit("\n]")).alias("value")).repartition(files).write.text(path)
+
+
 def parse_events(messages: DataFrame, schema: T.StructType = schemas.EVENT, value: str = "value") -> DataFrame:
     """JSON messages to columns, with their text as ``payload``; an unreadable one also has it in ``_corrupt``."""
     wide = T.StructType([*schema.fields, T.StructField("_corrupt", T.StringType())])
