@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import write_out
-from .common import released, released_group, short_list
+from .common import released, released_group, short_list, with_running
 from .components import components
 from .hashing import mix, shingles, word_hashes
 
@@ -222,15 +222,40 @@ def confirmed(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> D
     return met.select("a", "b", "text_a", "text_b").mapInArrow(released(run), "a long, b long")
 
 
+def _by_text(docs: DataFrame, words: int, percent: int, block: int) -> DataFrame:
+    """``near_duplicates`` where an id stands for several sets: the texts of an id are linked under numbers of
+    their own, then ids join what their texts reach."""
+    digest = F.coalesce(F.sha2("text", 256), F.lit(""))
+    keyed = docs.select(F.col("doc_id").cast("long"), "text", digest.alias("digest"))
+    texts = keyed.filter("doc_id is not null").select("doc_id", "digest").distinct()
+    numbers = write_out(with_running(texts, [], ["doc_id", "digest"], None, "row"), "text-numbers")
+    numbered = keyed.join(numbers, ["doc_id", "digest"], "left").select(F.col("row").alias("doc_id"), "text")
+    judged = write_out(near_duplicates(numbered, words, percent, block), "near-texts")
+    reached = write_out(judged.filter("doc_id is not null").select(F.col("doc_id").alias("row"), "n_shingles", "component_id").join(
+        numbers.select("doc_id", "row"), "row"), "texts-reached")  # copies of a text are several rows
+    firsts = reached.groupBy("doc_id").agg(F.min("component_id").alias("u"), F.max("component_id").alias("v")).filter("u <> v").drop("v")
+    ends = reached.select("doc_id", "component_id").distinct().join(short_list(write_out(firsts, "first-components")), "doc_id")
+    joined = write_out(components(ends.filter("u <> component_id").select("u", F.col("component_id").alias("v"))), "components")
+    reached = reached.join(joined, reached["component_id"] == joined["node"], "left").select(
+        "doc_id", "n_shingles", F.coalesce("component", "component_id").alias("component"))
+    smallest = reached.groupBy("component").agg(F.min("doc_id").alias("component_id"))
+    out = reached.join(smallest, "component").select("doc_id", "n_shingles", "component_id", (F.col("doc_id") == F.col("component_id")).alias("kept"))
+    return out.unionByName(judged.filter("doc_id is null"))
+
+
 def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, block: int = BLOCK) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` for every row of ``doc_id, text``.
 
     Documents are linked when their shingle sets share ``percent`` of their union; ``component_id`` is the
     smallest id that links reach and ``kept`` tells whether it is the document's own. Texts without
-    words (null, empty, blank) link to nothing; rows that repeat an id count as one document; rows
-    without an id have no component and are kept; an empty table gives no rows.
+    words (null, empty, blank) link to nothing; rows that repeat an id count as one document, linked by each
+    of its texts; rows without an id have no component and are kept; an empty table gives no rows.
     """
     signs = write_out(signed(docs, words), "signatures")
+    sets_of_id = F.struct("k1", "k2", "n")
+    torn = signs.filter("doc_id is not null").groupBy("doc_id").agg(F.min(sets_of_id).alias("least"), F.max(sets_of_id).alias("most"))
+    if not torn.filter("least <> most").isEmpty():
+        return _by_text(docs, words, percent, block)
     linked = signs.filter("doc_id is not null and n > 0")
     classes = write_out(linked.groupBy("k1", "k2", "n").agg(F.min("doc_id").alias("id"), F.first("sig").alias("sig")), "classes")
     sets = classes.drop("sig")

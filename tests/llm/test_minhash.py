@@ -52,6 +52,25 @@ def test_like_brute_force(spark, words, block):
     assert got == groups(rows, words, 80)
 
 
+@pytest.mark.parametrize("turned", [False, True])
+def test_an_id_with_several_texts_links_by_each(spark, turned):
+    rows = near_rows() + [(1, prose(500, 80)), (300, prose(500, 80) + " more"), (105, near_rows()[3][1]), (301, prose(7, 60) + " x"), (301, prose(8, 60)),
+                          (301, prose(8, 60)), (302, None), (302, prose(501, 60)), (303, prose(501, 60)), (None, prose(501, 60)), (None, "other")]
+    rows = rows[::-1] if turned else rows
+    texts = {1000 + i: text for i, text in enumerate(sorted({(d, t or "") for d, t in rows if d is not None}))}
+    linked = groups([(k, t) for k, (_, t) in texts.items()], 4, 80)
+    low = {d: d for d, _ in rows if d is not None}
+    for _ in low:  # the smallest id of a component, until nothing changes
+        of = defaultdict(list)
+        for k, (d, _) in texts.items():
+            of[linked[k][1]].append(low[d])
+        low = {d: min(min(of[linked[k][1]]) for k, (x, _) in texts.items() if x == d) for d in low}
+    got = minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), 4, 80).collect()
+    assert len(got) == len(rows)
+    assert all((r.component_id, r.kept) == ((low[r.doc_id], low[r.doc_id] == r.doc_id) if r.doc_id is not None else (None, True)) for r in got)
+    assert low[300] == low[105] == low[5] == 0 and low[303] == 302
+
+
 def test_odd_rows(spark):
     got = minhash.op1(odd_docs(spark)).collect()
     assert len(got) == len(odd_rows())
