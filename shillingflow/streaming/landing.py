@@ -2,13 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from concurrent.futures import ThreadPoolExecutor
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState
 
 from ..functions import validation as V
 from ..functions.payments import PREFIX_REGIONS, phone_prefix, standardize_phone, txn_time
@@ -77,7 +74,6 @@ def retry(letters: DataFrame, path: str):
 
 ASKED = ["initiated_at", "phone_number", "amount", "account_reference"]
 TOLD = ["received_at", "result_code", "result_desc"]
-PENDING = "initiated_at timestamp"
 EXPIRED = "checkout_request_id string, initiated_at timestamp, expired_at timestamp"
 
 
@@ -95,38 +91,19 @@ def stk_events(requests: DataFrame, callbacks: DataFrame) -> DataFrame:
 def stk_expiries(events: DataFrame, timeout: str = "2 minutes", watermark: str = WATERMARK) -> DataFrame:
     """Requests whose timer runs out unanswered: ``checkout_request_id, initiated_at, expired_at``.
 
-    A pending request is keyed state with a timer ``timeout`` after its start. A callback ends the state;
-    so does the timer, which emits the expiry. Nothing else is kept: callbacks without a pending request
-    leave no state, so it holds the requests of the last ``timeout`` and watermark only. Run it in append
-    mode. A request that is older than the watermark when it comes gets no timer; ``settled`` sees it by
-    its time.
+    A request opens a session of ``timeout``; what comes for its id inside joins the session. The watermark
+    closes it, which emits the expiry of a session without a callback. A callback outside is a session of
+    its own and ``settled`` lets it win. State thus holds the sessions of the last ``timeout`` and watermark
+    only, and no row of it meets Python. Run it in append mode. A request that is older than the watermark
+    when it comes opens none; ``settled`` sees it by its time.
     """
-    wait = pd.Timedelta(timeout).to_pytimedelta()
-
-    def step(key: tuple, rows: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            (begun,) = state.get
-            state.remove()
-            yield pd.DataFrame({"checkout_request_id": [key[0]], "initiated_at": [begun], "expired_at": [begun + wait]})
-            return
-        begun = state.get[0] if state.exists else None
-        answered = False
-        for frame in rows:  # a request and its callbacks in one batch, in any order
-            answered |= bool(frame["is_call"].any())
-            asked = frame.loc[~frame["is_call"], "at"].dropna()
-            if len(asked):
-                begun = asked.min() if begun is None else min(begun, asked.min())
-        if answered or begun is None:
-            if state.exists:
-                state.remove()
-            return
-        state.update((begun,))
-        due = int((pd.Timestamp(begun) + wait).timestamp() * 1000)
-        state.setTimeoutTimestamp(max(due, state.getCurrentWatermarkMs() + 1))
-
+    is_call = F.col("call").isNotNull()
     keyed = events.filter(F.col("checkout_request_id").isNotNull() & F.col("at").isNotNull()).withWatermark("at", watermark).select(
-        "checkout_request_id", "at", F.col("call").isNotNull().alias("is_call"))
-    return keyed.groupBy("checkout_request_id").applyInPandasWithState(step, EXPIRED, PENDING, "append", "EventTimeTimeout")
+        "checkout_request_id", "at", F.when(~is_call, F.col("at")).alias("asked_at"), is_call.alias("is_call"))
+    sessions = keyed.groupBy("checkout_request_id", F.session_window("at", timeout)).agg(
+        F.min("asked_at").alias("initiated_at"), F.bool_or("is_call").alias("answered"))
+    return sessions.filter("initiated_at is not null and not answered").select(
+        "checkout_request_id", "initiated_at", (F.col("initiated_at") + F.expr(f"INTERVAL {timeout}")).alias("expired_at"))
 
 
 def run_stk(events: DataFrame, path: str, timeout: str = "2 minutes"):

@@ -243,3 +243,14 @@ def test_kafka_is_wired(spark):
         files.read_events(spark, "localhost:9092", "transactions")
     df = spark.createDataFrame([("k", "v")], "key string, value string").select(F.col("key"), "value")
     assert df.columns == ["key", "value"]
+
+
+def test_pending_requests_meet_no_python(spark, tmp_path):
+    """Millions of ids pass the timers, so their state is kept by the engine's own sessions."""
+    schema = "checkout_request_id string, phone_number string, amount double, account_reference string, initiated_at timestamp"
+    calls = "checkout_request_id string, result_code bigint, result_desc string, received_at timestamp"
+    spark.createDataFrame([], schema).write.json(f"{tmp_path}/req")
+    spark.createDataFrame([], calls).write.json(f"{tmp_path}/call")
+    events = landing.stk_events(spark.readStream.schema(schema).json(f"{tmp_path}/req"), spark.readStream.schema(calls).json(f"{tmp_path}/call"))
+    plan = landing.stk_expiries(events)._jdf.queryExecution().analyzed().toString()
+    assert "Pandas" not in plan and "session_window" in plan
