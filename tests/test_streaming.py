@@ -254,3 +254,26 @@ def test_pending_requests_meet_no_python(spark, tmp_path):
     events = landing.stk_events(spark.readStream.schema(schema).json(f"{tmp_path}/req"), spark.readStream.schema(calls).json(f"{tmp_path}/call"))
     plan = landing.stk_expiries(events)._jdf.queryExecution().analyzed().toString()
     assert "Pandas" not in plan and "session_window" in plan
+
+
+def test_velocity_takes_a_group_row_by_row():
+    """A group of a few rows costs no frame: rows come and go one at a time, whole numbers and gaps unchanged."""
+    from types import SimpleNamespace
+
+    from pyspark.sql import Row
+    from shillingflow.streaming.velocity import RecentCounts
+
+    kept, timers = [None], []
+    state = SimpleNamespace(get=lambda: kept[0], update=lambda v: kept.__setitem__(0, v))
+    processor = RecentCounts(10, 100, 2)
+    processor.init(SimpleNamespace(getValueState=lambda *a: state, registerTimer=timers.append))
+    clock = SimpleNamespace(getCurrentWatermarkInMs=lambda: 0)
+    event = Row("TransID", "k", "at_us", "slot", "carried")
+    first = [event("a", None, 105, 1, False), event("x", 7, 98, 1, True), event("b", 2**60 + 1, 105, 1, False)]
+    got = list(processor.handleInputRows(("p", 1), iter(first), clock))
+    assert [r.asDict() for r in got] == [
+        {"TransID": "a", "k": None, "recent_transaction_count": 3, "velocity_flag": True},
+        {"TransID": "b", "k": 2**60 + 1, "recent_transaction_count": 3, "velocity_flag": True}]
+    again = list(processor.handleInputRows(("p", 1), iter([event("c", 1, 109, 1, False)]), clock))
+    assert [(r.TransID, r.recent_transaction_count, r.velocity_flag) for r in again] == [("c", 3, True)]
+    assert len(timers) == 1 and list(processor.handleInputRows(("p", 1), iter([event("y", 1, 99, 1, True)]), clock)) == []
