@@ -14,6 +14,7 @@ from ...session import write_out
 from .features import FEATURES
 
 TREES, SAMPLE, CONTAMINATION, SEED = 100, 256, 0.01, 42
+BLOCK = 1024  # rows scored together, so their places in all trees stay in the processor's cache
 NODE_SCHEMA = "tree int, node int, feature int, cut double, left int, right int, path double"
 
 
@@ -69,8 +70,8 @@ class Forest:
         def path_score(*columns: pd.Series) -> pd.Series:
             rows = np.column_stack([c.to_numpy(dtype="float64") for c in columns])
             scores = np.empty(len(rows))
-            for start in range(0, len(rows), 4096):
-                scores[start:start + 4096] = _mean_path(rows[start:start + 4096], arrays, depth)
+            for start in range(0, len(rows), BLOCK):
+                scores[start:start + BLOCK] = _mean_path(rows[start:start + BLOCK], arrays, depth)
             return pd.Series(-np.power(2.0, -scores / scale))
 
         return path_score(*[F.col(c).cast("double") for c in FEATURES])
@@ -83,26 +84,37 @@ class Forest:
 
 
 def _stack(nodes: pd.DataFrame) -> dict[str, np.ndarray]:
-    """Trees as rectangular arrays, leaves pointing to themselves."""
-    trees, width = int(nodes["tree"].max()) + 1, int(nodes["node"].max()) + 1
-    arrays = {}
-    for name, kind in (("feature", "int64"), ("cut", "float64"), ("left", "int64"), ("right", "int64"), ("path", "float64")):
-        grid = np.zeros((trees, width), dtype=kind)
-        grid[nodes["tree"], nodes["node"]] = nodes[name]
-        arrays[name] = grid
-    return arrays
+    """All trees in flat arrays. A node's children lie side by side from ``child`` on, the right one last; a leaf is
+    its own left child, and no value lies right of it."""
+    frame = nodes.sort_values(["tree", "node"])
+    tree, node = frame["tree"].to_numpy("int64"), frame["node"].to_numpy("int64")
+    width = int(node.max()) + 1
+    place = np.zeros((int(tree.max()) + 1) * width, "int64")  # of a tree's node in the flat arrays
+    feature, inner = frame["feature"].to_numpy("int64"), np.flatnonzero(frame["feature"].to_numpy("int64") >= 0)
+    roots = np.flatnonzero(node == 0)
+    place[tree[roots] * width] = np.arange(len(roots))
+    pairs = len(roots) + 2 * np.arange(len(inner))
+    for side, step in (("left", 0), ("right", 1)):
+        place[tree[inner] * width + frame[side].to_numpy("int64")[inner]] = pairs + step
+    at = place[tree * width + node]
+    arrays = {name: np.empty(len(frame), kind) for name, kind in (("feature", "int64"), ("cut", "float64"), ("child", "int64"), ("path", "float64"))}
+    arrays["feature"][at] = np.maximum(feature, 0)
+    arrays["cut"][at] = np.where(feature >= 0, frame["cut"].to_numpy("float64"), np.inf)
+    arrays["path"][at] = frame["path"].to_numpy("float64")
+    arrays["child"][at] = at
+    arrays["child"][at[inner]] = pairs
+    return arrays | {"roots": place[np.arange(int(tree.max()) + 1) * width]}
 
 
 def _mean_path(rows: np.ndarray, arrays: dict[str, np.ndarray], depth: int) -> np.ndarray:
-    trees = np.arange(arrays["feature"].shape[0])
-    at = np.zeros((len(rows), len(trees)), dtype="int64")
-    line = np.arange(len(rows))[:, None]
-    for _ in range(depth):
-        feature = arrays["feature"][trees, at]
-        value = rows[line, np.maximum(feature, 0)]
-        left = (value <= arrays["cut"][trees, at]) & (feature >= 0)
-        at = np.where(left, arrays["left"][trees, at], arrays["right"][trees, at])
-    return arrays["path"][trees, at].mean(axis=1)
+    # what is no number goes right, as the greatest value does
+    columns = np.ascontiguousarray(np.where(np.isnan(rows), np.inf, rows)).ravel()
+    line = np.arange(len(rows))[:, None] * rows.shape[1]
+    at = np.broadcast_to(arrays["roots"], (len(rows), len(arrays["roots"])))
+    for _ in range(depth):  # places are in range, so nothing is wrapped; it only saves the check
+        value = columns.take(arrays["feature"].take(at, mode="wrap") + line, mode="wrap")
+        at = arrays["child"].take(at, mode="wrap") + (value > arrays["cut"].take(at, mode="wrap"))
+    return arrays["path"].take(at, mode="wrap").mean(axis=1)
 
 
 def draw_samples(features: DataFrame, row_id: str, trees: int, sample: int, seed: int) -> DataFrame:

@@ -75,3 +75,25 @@ def test_segments_are_named_by_spend(spark):
     got = segments.customer_segments(metrics).groupBy("segment_name").agg(F.avg("total_amount").alias("t")).collect()
     order = [r.segment_name for r in sorted(got, key=lambda r: -r.t)]
     assert order == segments.NAMES[: len(order)]
+
+
+def test_paths_like_a_walk_through_each_tree():
+    """Children lie side by side in flat arrays, a leaf is its own left child; gaps and infinities go where a comparison sends them."""
+    import pandas as pd
+    r = np.random.default_rng(5)
+    points = np.column_stack([r.normal(size=400), r.integers(0, 2, 400), np.full(400, 7.0)])
+    nodes = pd.concat([iforest.grow_tree(points[r.integers(0, 400, 64)], k).assign(tree=k) for k in range(7)] + [
+        iforest.grow_tree(points[:1], 9).assign(tree=7)])
+    rows = np.vstack([points, [[np.nan, 0, 7], [np.inf, np.nan, 7], [-np.inf, 1, np.nan]]])
+    got = iforest._mean_path(rows, iforest._stack(nodes), 6)
+    for row, mean in zip(rows, got):
+        ends = []
+        for _, tree in nodes.groupby("tree"):
+            tree, at = tree.set_index("node"), 0
+            while tree.loc[at, "feature"] >= 0:
+                at = int(tree.loc[at, "left" if row[int(tree.loc[at, "feature"])] <= tree.loc[at, "cut"] else "right"])
+            ends.append(tree.loc[at, "path"])
+        assert mean == pytest.approx(np.mean(ends))
+    arrays = iforest._stack(nodes)
+    inner = arrays["child"] != np.arange(len(arrays["child"]))
+    assert all(x.ndim == 1 for x in arrays.values()) and np.isfinite(arrays["cut"][inner]).all() and np.isinf(arrays["cut"][~inner]).all()
