@@ -35,7 +35,7 @@ class RecentCounts(StatefulProcessor):
         self.counts = handle.getValueState("counts", "at_us array<long>, n array<long>")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        # most groups are a few rows: as rows they cost a tenth of a frame per group
+        # most groups are a few rows, for which a frame per group costs more than the rows
         own, at = [], []
         for row in rows:
             at.append(row["at_us"])
