@@ -14,6 +14,7 @@ from .features import FEATURES
 
 SEED = 42
 MIN_POSITIVES = 10
+PLACED = 2_000_000  # rows whose places in all trees of a forest are kept while it grows, 4 bytes a tree
 
 
 def pseudo_label(predicted: DataFrame) -> DataFrame:
@@ -56,5 +57,8 @@ def train(labelled: DataFrame, estimator, row_id: str = "transaction_id") -> Tra
     if labelled.filter("label = 1").limit(MIN_POSITIVES + 1).count() <= MIN_POSITIVES:
         return None
     learn, held_out = split(assemble(labelled), row_id)
+    if isinstance(estimator, RandomForestClassifier) and labelled.count() <= PLACED:
+        # the same trees; rows need not be led down from the root again at each level
+        estimator = estimator.copy({estimator.cacheNodeIds: True, estimator.checkpointInterval: -1})
     model = estimator.fit(learn)
     return Trained(model, _accuracy(model, learn), _accuracy(model, held_out))
